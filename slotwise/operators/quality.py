@@ -92,12 +92,12 @@ def _fences(df: DataFrame, column: str, factor: float) -> tuple[float, float, fl
     return row["q1"], row["q2"], row["q3"], row["q1"] - factor * spread, row["q3"] + factor * spread
 
 
-def outlier_summary(df: DataFrame, column: str, factor: float = 1.5) -> DataFrame:
+def outlier_summary(df: DataFrame, column: str, factor: float = 1.5, places: int = 2) -> DataFrame:
     """Quartiles, fences at ``factor`` times their distance, and what lies outside."""
     v = F.col(column).cast("double")
     found = _fences(df, column, factor)
     q1, _, q3, low, high = found if found else (None,) * 5
-    lit = lambda x: F.round(F.lit(x).cast("double"), 2)
+    lit = lambda x: F.round(F.lit(x).cast("double"), places)
     below, above = F.count_if(v < F.lit(low).cast("double")), F.count_if(v > F.lit(high).cast("double"))
     return df.agg(
         F.lit(column).alias("variable"),
@@ -109,8 +109,8 @@ def outlier_summary(df: DataFrame, column: str, factor: float = 1.5) -> DataFram
         below.alias("outliers_inferiores"),
         above.alias("outliers_superiores"),
         F.round(100 * (below + above) / F.count(v), 2).alias("pct_outliers"),
-        F.round(F.max(v), 2).alias("maximo"),
-        F.round(F.min(v), 2).alias("minimo"),
+        F.round(F.max(v), places).alias("maximo"),
+        F.round(F.min(v), places).alias("minimo"),
     )
 
 

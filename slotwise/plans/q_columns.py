@@ -387,4 +387,5 @@ def group_median_rows(spark, d):
     li = tables.table(spark, d, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_extendedprice")
     medians = exact_quantiles(li, "l_extendedprice", [0.5], ["mediana"], keys=["l_returnflag"])
-    return tidy(enrich.left_enrich(li, medians, ["l_returnflag"], ["mediana"]).drop("l_extendedprice"))
+    rows = enrich.left_enrich(li, medians, ["l_returnflag"], ["mediana"]).drop("l_extendedprice")
+    return rows.withColumn("mediana", F.round("mediana", 6))

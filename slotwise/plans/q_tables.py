@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from slotwise.functions.cleaning import clip
 from slotwise.operators import filters, prepare
 from slotwise.operators import profiles as Pr
 from slotwise.operators import quality as Q
@@ -98,13 +99,13 @@ f AS (SELECT *, q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM q)""
 
 @query("A17_outlier_summary", f"""WITH {CLEAN},
 {_FENCES.format(c='pmd', t='clean')}
-SELECT 'pmd' AS variable, round(any_value(q1), 2) AS q1, round(any_value(q3), 2) AS q3, round(any_value(q3 - q1), 2) AS iqr,
-       round(any_value(lo), 2) AS limite_inferior, round(any_value(hi), 2) AS limite_superior,
+SELECT 'pmd' AS variable, round(any_value(q1), 4) AS q1, round(any_value(q3), 4) AS q3, round(any_value(q3 - q1), 4) AS iqr,
+       round(any_value(lo), 4) AS limite_inferior, round(any_value(hi), 4) AS limite_superior,
        count(*) FILTER (WHERE pmd < lo) AS outliers_inferiores, count(*) FILTER (WHERE pmd > hi) AS outliers_superiores,
        round(100 * (count(*) FILTER (WHERE pmd < lo OR pmd > hi)) / count(pmd), 2) AS pct_outliers,
-       round(max(pmd), 2) AS maximo, round(min(pmd), 2) AS minimo FROM clean, f""")
+       round(max(pmd), 4) AS maximo, round(min(pmd), 4) AS minimo FROM clean, f""")
 def outliers(spark, d):
-    return Q.outlier_summary(prepare.preprocess_log(tables.flights(spark, d)), "pmd")
+    return Q.outlier_summary(prepare.preprocess_log(tables.flights(spark, d)), "pmd", places=4)
 
 
 @query("A18_extreme_values", "SELECT l_extendedprice AS valor FROM lineitem ORDER BY 1 DESC LIMIT 8")
@@ -114,7 +115,7 @@ def extremes(spark, d):
 
 @query("A19_A20_duplicates", """
 WITH t AS (SELECT l_suppkey, l_quantity, l_returnflag, l_discount FROM lineitem),
-     a AS (SELECT count(*) AS n FROM t GROUP BY ALL), b AS (SELECT count(*) AS n FROM t GROUP BY l_suppkey, l_returnflag)
+     a AS (SELECT count(*) AS n FROM t GROUP BY l_suppkey, l_quantity, l_returnflag, l_discount), b AS (SELECT count(*) AS n FROM t GROUP BY l_suppkey, l_returnflag)
 SELECT 'filas_identicas' AS tipo, sum(n - 1)::BIGINT AS cantidad, round(100 * sum(n - 1) / sum(n), 3) AS pct_total FROM a
 UNION ALL SELECT 'llave_de_negocio', sum(n - 1)::BIGINT, round(100 * sum(n - 1) / sum(n), 3) FROM b""")
 def duplicates(spark, d):
@@ -174,8 +175,6 @@ SELECT pmd_fue_imputado, bin, round(lo + (hi - lo) / 80 * (bin - 1), 6) AS desde
        round(count(*) / (sum(count(*)) OVER (PARTITION BY pmd_fue_imputado) * ((hi - lo) / 80)), 6) AS densidad
 FROM b GROUP BY pmd_fue_imputado, bin, lo, hi""")
 def histogram_by_group(spark, d):
-    from slotwise.functions.cleaning import clip
-
     log = prepare.preprocess_log(tables.flights(spark, d))
     return tidy(Q.histogram(log, clip("pmd", high=500.0), 80, by="pmd_fue_imputado"))
 
