@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from slotwise.functions import cleaning as C
 from slotwise.functions import clock
-from slotwise.operators.ranking import exact_quantiles
+from slotwise.operators.ranking import exact_quantiles, quantiles_of_counts, value_counts
 from slotwise.operators.sizing import broadcast_if_small, require_columns
 
 # Above this many distinct categories their codes are no longer numbered in one task.
@@ -27,8 +27,11 @@ def impute_group_median(
     """
     require_columns(df, [column, group])
     flag = flag or f"{column}_fue_imputado"
-    by_group = exact_quantiles(df, column, [0.5], ["_group_median"], keys=[group])
-    overall = exact_quantiles(df, column, [0.5], ["m"]).first()
+    counts = value_counts(df, column, [group]).persist()
+    by_group = quantiles_of_counts(counts.na.drop(), [0.5], ["_group_median"], keys=[group])
+    overall = quantiles_of_counts(
+        counts.groupBy("_v").agg(F.sum("_n").alias("_n")), [0.5], ["m"]
+    ).first()
     fallback = F.lit(overall["m"] if overall else None).cast("double")
     return (
         df.withColumn(flag, C.flag(F.col(column).isNull()))

@@ -31,25 +31,30 @@ def _unpivot(one_row: DataFrame, columns: Sequence[str], names: Sequence[str], k
     return one_row.select(F.explode(F.array(*cells)).alias("r")).select("r.*")
 
 
-def column_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+def column_profile(
+    df: DataFrame, columns: Sequence[str] | None = None, approx: bool = False
+) -> DataFrame:
     """Type, nulls, share of nulls, distinct values and an example for every column.
 
     Nulls and examples take one pass without a shuffle of rows. Distinct counts multiply rows by the
     number of columns counted together, so they go a few columns per pass. The example is the
-    smallest value as text, which does not depend on the order of rows.
+    smallest value as text, which does not depend on the order of rows. With ``approx`` distinct counts
+    are estimates, and the whole profile is one pass.
     """
+    distinct = F.approx_count_distinct if approx else F.count_distinct
     columns = list(columns or df.columns)
     types = {f.name: f.dataType.simpleString() for f in df.schema}
     parts = []
-    for start in range(0, len(columns), DISTINCT_COLUMNS_PER_PASS):
-        some = columns[start:start + DISTINCT_COLUMNS_PER_PASS]
+    step = len(columns) if approx else DISTINCT_COLUMNS_PER_PASS
+    for start in range(0, len(columns), step):
+        some = columns[start:start + step]
         cells: list[Column] = []
         for c in some:
             cells += [
                 F.lit(types[c]).alias(f"{c}__tipo"),
                 (F.count("*") - F.count(c)).alias(f"{c}__nulos"),
                 F.round((F.count("*") - F.count(c)) / F.count("*") * 100, 2).alias(f"{c}__pct_nulos"),
-                F.count_distinct(c).alias(f"{c}__valores_distintos"),
+                distinct(c).alias(f"{c}__valores_distintos"),
                 F.substring(F.min(F.col(c).cast("string")), 1, 28).alias(f"{c}__ejemplo"),
             ]
         names = ["tipo", "nulos", "pct_nulos", "valores_distintos", "ejemplo"]
@@ -64,20 +69,22 @@ DESCRIBE_NAMES = ["p1", "p25", "p50", "p75", "p95", "p99"]
 def describe(df: DataFrame, columns: Sequence[str], places: int = 2) -> DataFrame:
     """Count, mean, sample deviation, extremes and exact percentiles per numeric column.
 
-    All columns go through one long table keyed by the column name, so their percentiles share one
-    distributed ranking.
+    The moments of all columns are one pass without a shuffle of rows. For the percentiles the columns
+    go through one long table keyed by the column name, so they share one distributed ranking.
     """
-    columns = [c for c in columns if c in df.columns]
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
-        [], columns, "variable", "valor"
-    )
-    moments = long.groupBy("variable").agg(
-        F.count("valor").alias("n"),
-        F.avg("valor").alias("media"),
-        F.stddev_samp("valor").alias("desv_estandar"),
-        F.min("valor").alias("minimo"),
-        F.max("valor").alias("maximo"),
+    numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns if c in df.columns])
+    columns = numbers.columns
+    cells: list[Column] = []
+    for c in columns:
+        cells += [
+            F.count(c).alias(f"{c}__n"), F.avg(c).alias(f"{c}__media"),
+            F.stddev_samp(c).alias(f"{c}__desv_estandar"),
+            F.min(c).alias(f"{c}__minimo"), F.max(c).alias(f"{c}__maximo"),
+        ]
+    moments = _unpivot(
+        numbers.agg(*cells), columns, ["n", "media", "desv_estandar", "minimo", "maximo"], "variable"
     )
+    long = numbers.unpivot([], columns, "variable", "valor")
     quantiles = exact_quantiles(long, "valor", DESCRIBE_PROBS, DESCRIBE_NAMES, keys=["variable"])
     out = moments.join(quantiles, on="variable", how="left")
     order = ["media", "desv_estandar", "minimo", *DESCRIBE_NAMES, "maximo"]

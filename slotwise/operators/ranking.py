@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from slotwise.operators.sizing import broadcast_if_small
 
-ROWS_PER_CELL = 1_000_000
+ROWS_PER_CELL = 200_000
 MAX_CELLS = 10_000
 
 
@@ -98,6 +98,13 @@ def with_rank(
     return running_totals(df, order_by, {name: F.lit(1).cast("long")}, keys, rows_per_cell=rows_per_cell)
 
 
+def value_counts(df: DataFrame, column: str, keys: Sequence[str] = ()) -> DataFrame:
+    """Rows ``_n`` per key and non-null value ``_v``: a hot key is spread over its values, and repeats
+    merge before the shuffle."""
+    values = df.select(*keys, F.col(column).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
+    return values.groupBy(*keys, "_v").agg(F.count("*").alias("_n"))
+
+
 def exact_quantiles(
     df: DataFrame,
     column: str,
@@ -106,21 +113,26 @@ def exact_quantiles(
     keys: Sequence[str] = (),
     rows_per_cell: int | None = None,
 ) -> DataFrame:
-    """Exact quantiles with linear interpolation, one row per key (or one row).
+    """Exact quantiles with linear interpolation, one row per key (or one row)."""
+    counts = value_counts(df, column, keys).na.drop()
+    return quantiles_of_counts(counts, probabilities, names, keys, rows_per_cell)
+
+
+def quantiles_of_counts(
+    counts: DataFrame,
+    probabilities: Sequence[float],
+    names: Sequence[str],
+    keys: Sequence[str] = (),
+    rows_per_cell: int | None = None,
+) -> DataFrame:
+    """The same from a table of ``value_counts``.
 
-    Rows are first counted per key and value, which spreads a hot key over its values and merges
-    repeated values before the shuffle. When few distinct values remain, Spark's ``percentile`` on
-    the counts finishes the work; otherwise the ranks come from ``running_totals``.
+    When few distinct values remain, Spark's ``percentile`` on the counts finishes the work; otherwise
+    the ranks come from ``running_totals``.
     """
     limit = rows_per_cell or ROWS_PER_CELL
     keys = list(keys)
-    counts = (
-        df.select(*keys, F.col(column).cast("double").alias("_v"))
-        .na.drop()
-        .groupBy(*keys, "_v")
-        .agg(F.count("*").alias("_n"))
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    )
+    counts = counts.persist(StorageLevel.MEMORY_AND_DISK)
     if counts.count() <= limit:
         probs = F.array(*[F.lit(float(p)) for p in probabilities])
         picked = counts.groupBy(*keys).agg(F.percentile("_v", probs, F.col("_n")).alias("_q"))

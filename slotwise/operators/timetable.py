@@ -11,10 +11,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from slotwise.functions import cleaning as C
 from slotwise.functions import clock
+from slotwise.operators.enrich import stack_tagged
 from slotwise.operators.prepare import with_calendar
 from slotwise.operators.sizing import broadcast_if_small, drop_null_keys, require_columns
 
@@ -45,11 +47,11 @@ WITH gaps AS (
          sum(n) OVER (PARTITION BY <keys>, slot) AS slot_n
   FROM based
 ), listed AS (
-  SELECT <keys>, m, sum(n) OVER (PARTITION BY <keys>) AS n_obs_grupo,
+  SELECT <keys>, m, n, sum(n) OVER (PARTITION BY <keys>) AS n_obs_grupo,
          collect_set(struct(slot, center, slot_n)) OVER (PARTITION BY <keys>) AS slots
   FROM centred
 )
-SELECT <keys>, m, n_obs_grupo,
+SELECT <keys>, m, n, n_obs_grupo,
        coalesce(
          array_min(transform(filter(slots, s -> s.slot_n >= :min_obs),
            s -> struct(abs(pmod(m - s.center + 720, 1440.0D) - 720) AS far, s.slot, s.center))).center,
@@ -73,18 +75,19 @@ def slot_reference(
     not count as habitual unless there is no other, and then the largest one does. Every time refers
     to the nearest habitual slot (the first of two at the same distance).
     """
-    keys = list(keys)
-    counts = (
-        drop_null_keys(df, [*keys, minute])
-        .groupBy(*keys, F.col(minute).alias("m"))
-        .agg(F.count("*").alias("n"))
-    )
-    found = df.sparkSession.sql(
-        _SLOTS.replace("<keys>", ", ".join(f"`{k}`" for k in keys)),
-        {"gap": gap, "min_obs": min_obs},
-        counts=counts,
-    )
-    return found.withColumnRenamed("m", minute)
+    counts = minute_counts(df, keys, minute)
+    return _references(counts, keys, gap, min_obs).drop("n").withColumnRenamed("m", minute)
+
+
+def minute_counts(df: DataFrame, keys: Sequence[str], minute: str = "min_dia") -> DataFrame:
+    """Flights ``n`` per key and minute ``m``; rows with a missing key belong to no group."""
+    known = drop_null_keys(df, [*keys, minute])
+    return known.groupBy(*keys, F.col(minute).alias("m")).agg(F.count("*").alias("n"))
+
+
+def _references(counts: DataFrame, keys: Sequence[str], gap: int, min_obs: int) -> DataFrame:
+    text = _SLOTS.replace("<keys>", ", ".join(f"`{k}`" for k in keys))
+    return counts.sparkSession.sql(text, {"gap": gap, "min_obs": min_obs}, counts=counts)
 
 
 def delay_target(
@@ -118,60 +121,39 @@ def delay_target(
 
 def plain_median(df: DataFrame, keys: Sequence[str], minute: str = "min_dia") -> DataFrame:
     """Median minute per key on a straight axis: the naive reference that ignores midnight."""
-    keys = list(keys)
-    counts = drop_null_keys(df, [*keys, minute]).groupBy(*keys, minute).agg(F.count("*").alias("_n"))
     # At most 1440 distinct minutes per key.
-    return counts.groupBy(*keys).agg(
-        F.percentile(F.col(minute).cast("double"), F.lit(0.5), F.col("_n")).alias("mediana_min"),
-        F.sum("_n").alias("n_vuelos"),
+    return minute_counts(df, keys, minute).groupBy(*keys).agg(
+        F.percentile(F.col("m").cast("double"), F.lit(0.5), F.col("n")).alias("mediana_min"),
+        F.sum("n").alias("n_vuelos"),
     )
 
 
 def target_ablation(flights: DataFrame, late_after: float = 15) -> DataFrame:
     """Spread of the deviation and share late under four definitions of the reference time.
 
-    Plain median per flight and month; the same on the circle; with slots; with slots and weekday.
+    Plain median per flight and month; the same on the circle; with slots; with slots and weekday. All
+    four are computed from one table of counts per key and minute, without going back to the flights.
     """
-    dated = with_calendar(flights)
     monthly = [*FLIGHT, "mes_ym"]
-    minute = F.col("min_dia").cast("double")
-    counts = (
-        drop_null_keys(dated, [*FLIGHT])
-        .groupBy(*SLOT_KEY, "min_dia").agg(F.count("*").alias("_n"))
-    )
-    plain = dated.transform(plain_median, monthly)
-    # No gap is longer than a day, so that setting keeps each circle in one slot.
-    versions = [
-        ("1_mediana_simple", plain.select(*monthly, F.col("mediana_min").alias("_ref")), monthly,
-         minute - F.col("_ref")),
-        ("2_reloj_circular", _slots(dated, monthly, gap=clock.DAY_MIN), [*monthly, "min_dia"],
-         clock.wrap_minutes(minute - F.col("_ref"))),
-        ("3_slots", _slots(dated, monthly), [*monthly, "min_dia"],
-         clock.wrap_minutes(minute - F.col("_ref"))),
-        ("4_dia_semana", _slots(dated, SLOT_KEY), [*SLOT_KEY, "min_dia"],
-         clock.wrap_minutes(minute - F.col("_ref"))),
-    ]
-    parts = [
-        counts.join(broadcast_if_small(ref), on=on)
-        .select(F.lit(name).alias("version"), deviation.alias("d"), "_n")
-        for name, ref, on, deviation in versions
-    ]
-    stacked = parts[0]
-    for part in parts[1:]:
-        stacked = stacked.unionByName(part)
-    # Deviations are half-minute steps within one day: a bounded number of values per version.
-    merged = stacked.groupBy("version", "d").agg(F.sum("_n").alias("_n"))
-    n, s, q = F.sum("_n"), F.sum(F.col("_n") * F.col("d")), F.sum(F.col("_n") * F.col("d") * F.col("d"))
-    quantiles = F.percentile("d", F.array(F.lit(0.05), F.lit(0.95)), F.col("_n"))
+    fine = minute_counts(with_calendar(flights), SLOT_KEY).persist()
+    counts = fine.groupBy(*monthly, "m").agg(F.sum("n").alias("n"))
+    middle = F.percentile(F.col("m").cast("double"), F.lit(0.5), F.col("n")).over(W.partitionBy(*monthly))
+    wrapped = clock.wrap_minutes(F.col("m") - F.col("hora_referencia_min"))
+    versions = {
+        "1_mediana_simple": counts.select((F.col("m") - middle).alias("d"), "n"),
+        # No gap is longer than a day, so that setting keeps each circle in one slot.
+        "2_reloj_circular": _references(counts, monthly, clock.DAY_MIN, 2).select(wrapped.alias("d"), "n"),
+        "3_slots": _references(counts, monthly, 120, 2).select(wrapped.alias("d"), "n"),
+        "4_dia_semana": _references(fine, SLOT_KEY, 120, 2).select(wrapped.alias("d"), "n"),
+    }
+    # Deviations are half-minute steps within a day: a bounded number of values per version.
+    merged = stack_tagged(versions, "version").groupBy("version", "d").agg(F.sum("n").alias("n"))
+    n, s, q = F.sum("n"), F.sum(F.col("n") * F.col("d")), F.sum(F.col("n") * F.col("d") * F.col("d"))
+    quantiles = F.percentile("d", F.array(F.lit(0.05), F.lit(0.95)), F.col("n"))
     return merged.groupBy("version").agg(
         n.alias("vuelos"),
         F.sqrt((q - s * s / n) / (n - 1)).alias("desv_estandar"),
         quantiles[0].alias("p05"),
         quantiles[1].alias("p95"),
-        (F.sum(F.when(F.col("d") > late_after, F.col("_n")).otherwise(0)) / n).alias("tasa_retraso"),
+        (F.sum(F.when(F.col("d") > late_after, F.col("n")).otherwise(0)) / n).alias("tasa_retraso"),
     )
-
-
-def _slots(dated: DataFrame, keys: Sequence[str], gap: int = 120) -> DataFrame:
-    found = slot_reference(dated, keys, gap=gap)
-    return found.withColumnRenamed("hora_referencia_min", "_ref").drop("n_obs_grupo")

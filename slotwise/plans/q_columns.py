@@ -323,7 +323,7 @@ def train_only_median(spark, d):
 WITH o AS (SELECT o_orderkey, CASE WHEN o_custkey % 50 = 0 THEN NULL ELSE o_orderpriority END AS aeropuerto_oaci,
                   (year(o_orderdate) * 100 + month(o_orderdate))::BIGINT AS mes_id, o_orderstatus AS internacional_domestico FROM orders),
      m AS (SELECT aeropuerto_oaci, mes_id, internacional_domestico, count(*)::BIGINT AS cnt_operaciones FROM o
-           WHERE mes_id % 100 <> 7 GROUP BY ALL)
+           WHERE internacional_domestico <> 'P' GROUP BY ALL)
 SELECT o.*, m.cnt_operaciones FROM o LEFT JOIN m ON o.aeropuerto_oaci IS NOT DISTINCT FROM m.aeropuerto_oaci
   AND o.mes_id IS NOT DISTINCT FROM m.mes_id AND o.internacional_domestico IS NOT DISTINCT FROM m.internacional_domestico
 """)
@@ -332,7 +332,7 @@ def monthly_enrichment(spark, d):
         "o_orderkey", F.when(F.col("o_custkey") % 50 != 0, F.col("o_orderpriority")).alias("aeropuerto_oaci"),
         clock.month_key("o_orderdate").alias("mes_id"), F.col("o_orderstatus").alias("internacional_domestico"))
     monthly = (
-        o.filter(F.col("mes_id") % 100 != 7)
+        o.filter(F.col("internacional_domestico") != "P")
         .groupBy(*enrich.OPS_KEYS).agg(F.count("*").alias("cnt_operaciones"))
     )
     return enrich.join_monthly_operations(o, monthly)
@@ -346,12 +346,12 @@ def weather_join(spark, d):
 
 
 @query("J2_weather_coverage", f"""WITH {TARGET}, {WEATHER},
-some_days AS (SELECT * FROM weather WHERE day(fecha_cruce) % 6 <> 0)
+some_days AS (SELECT * FROM weather WHERE tavg > 9)
 SELECT count(*) AS vuelos, round(avg(CASE WHEN tavg IS NULL THEN 1.0 ELSE 0.0 END), 6) AS sin_clima,
        avg(CASE WHEN tavg IS NULL THEN 1.0 ELSE 0.0 END) > 0.05 AS aviso
 FROM target LEFT JOIN some_days USING (fecha_cruce)""")
 def weather_coverage(spark, d):
-    some = tables.weather(spark, d).filter(F.day("fecha_cruce") % 6 != 0)
+    some = tables.weather(spark, d).filter(F.col("tavg") > 9)
     return tidy(We.weather_coverage(We.join_weather(tables.target(spark, d), some)))
 
 
@@ -364,7 +364,7 @@ def key_grain(spark, d):
 
 @query("J4_as_of_hourly_weather", f"""WITH {FLIGHTS},
 hourly AS (SELECT 'A' || (user_id % 7) AS aeropuerto_oaci, CAST(date_trunc('hour', ts) AS TIMESTAMP) AS lectura, max(value) AS temp
-           FROM events WHERE event_id % 3 <> 0 GROUP BY ALL)
+           FROM events GROUP BY ALL)
 SELECT f.event_id, f.aeropuerto_oaci, f.dt_operacion, h.lectura AS lectura_ts, h.temp
 FROM flights f ASOF LEFT JOIN hourly h ON f.aeropuerto_oaci = h.aeropuerto_oaci AND f.dt_operacion >= h.lectura""")
 def as_of_weather(spark, d):

@@ -11,7 +11,7 @@ from slotwise.operators.filters import stratified_parts
 from slotwise.plans import tables
 from slotwise.plans.q_tables import nation_log
 from slotwise.plans.registry import query, tidy
-from slotwise.plans.sql import DAY_PROFILE, NATION_PROFILE, SLOT_PROFILE
+from slotwise.plans.sql import DAY_PROFILE, JOINED, NATION_PROFILE, SLOT_PROFILE
 
 STARTS = 4
 
@@ -151,12 +151,25 @@ def line_items(spark, d):
     })
 
 
-@query("P24_feature_matrix")
+_WEATHER = M.WEATHER_FEATURES
+
+
+@query("P24_feature_matrix", f"""WITH {JOINED},
+known AS (SELECT * FROM joined WHERE tavg IS NOT NULL),
+carriers AS (SELECT aerolinea_dgac, row_number() OVER (ORDER BY aerolinea_dgac) - 1 AS c FROM (SELECT DISTINCT aerolinea_dgac FROM known)),
+models AS (SELECT modelo_avion, row_number() OVER (ORDER BY modelo_avion) - 1 AS m FROM (SELECT DISTINCT modelo_avion FROM known))
+SELECT retraso, anio AS _year, """ + ", ".join(f"round({c}::DOUBLE, 6) + 0.0::DOUBLE AS {c}" for c in _WEATHER) + """,
+       round(hora_programada, 6) AS hora_programada, dia_semana::DOUBLE AS dia_semana, mes::DOUBLE AS mes, anio::DOUBLE AS anio,
+       c::DOUBLE AS aerolinea_cod, (CASE WHEN tipo_operacion = 'D' THEN 1 ELSE 0 END)::DOUBLE AS tipo_operacion_cod,
+       m::DOUBLE AS modelo_cod, (CASE WHEN es_internacional THEN 1 ELSE 0 END)::DOUBLE AS es_internacional
+FROM known JOIN carriers USING (aerolinea_dgac) JOIN models USING (modelo_avion)""")
 def feature_matrix(spark, d):
     return tidy(M.feature_matrix(tables.joined(spark, d)))
 
 
-@query("M11_stratified_split")
+@query("M11_stratified_split", """
+WITH c AS (SELECT CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END::BIGINT AS y, count(*) AS n FROM lineitem GROUP BY 1)
+SELECT y, 0::BIGINT AS part, round(n * 0.8)::BIGINT AS n FROM c UNION ALL SELECT y, 1, n - round(n * 0.8)::BIGINT FROM c""")
 def stratified_split(spark, d):
     parts = stratified_parts(line_items(spark, d), LINE_KEY, "y", [0.8, 0.2])
     return tidy(parts.groupBy("y", "part").agg(F.count("*").alias("n")))
