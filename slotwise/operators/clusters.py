@@ -9,11 +9,11 @@ from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from slotwise.operators.profiles import DAY_FEATURES, day_type_summary, flag_critical
+from slotwise.operators.profiles import DAY_FEATURES, flag_critical
 from slotwise.operators.sizing import broadcast_if_small
 
 AIRPORT_FEATURES = ["total_vuelos", "pct_intl", "pmd_mediana", "n_aerolineas", "cnt_ops_media"]
@@ -197,14 +197,6 @@ def segment_days(
     return Clustered(rows, model, [], diagnosis)
 
 
-def day_types(days: Clustered) -> DataFrame:
-    return day_type_summary(days.rows)
-
-
 def with_cluster_names(clustered: DataFrame, cluster: str = "cluster") -> DataFrame:
     names = name_clusters(clustered, cluster).select(cluster, "nombre")
     return clustered.join(broadcast_if_small(names), on=cluster)
-
-
-def explained(column: Column) -> Column:
-    return F.round(column * 100, 1)
