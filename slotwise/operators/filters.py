@@ -85,7 +85,15 @@ def sample_exactly(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame
     if edge is None:
         return df
     below = hashed.filter(F.col("_h") < edge["_h"])
-    at_edge = hashed.filter(F.col("_h") == edge["_h"]).limit(n - edge["before"])
+    left = n - edge["before"]
+    # Copies merge on the map side and are written out again as often as needed.
+    at_edge = (
+        hashed.filter(F.col("_h") == edge["_h"])
+        .groupBy(*hashed.columns).agg(F.count("*").alias("_copies"))
+        .withColumn("_i", F.explode(F.sequence(F.lit(1).cast("long"), F.least("_copies", F.lit(left)))))
+        .drop("_copies", "_i")
+        .limit(left)
+    )
     return below.unionByName(at_edge).drop("_h")
 
 

@@ -69,8 +69,8 @@ DESCRIBE_NAMES = ["p1", "p25", "p50", "p75", "p95", "p99"]
 def describe(df: DataFrame, columns: Sequence[str], places: int = 2) -> DataFrame:
     """Count, mean, sample deviation, extremes and exact percentiles per numeric column.
 
-    The moments of all columns are one pass without a shuffle of rows. For the percentiles the columns
-    go through one long table keyed by the column name, so they share one distributed ranking.
+    The moments of all columns are one pass without a shuffle of rows; percentiles read their column
+    alone.
     """
     numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns if c in df.columns])
     columns = numbers.columns
@@ -84,8 +84,10 @@ def describe(df: DataFrame, columns: Sequence[str], places: int = 2) -> DataFram
     moments = _unpivot(
         numbers.agg(*cells), columns, ["n", "media", "desv_estandar", "minimo", "maximo"], "variable"
     )
-    long = numbers.unpivot([], columns, "variable", "valor")
-    quantiles = exact_quantiles(long, "valor", DESCRIBE_PROBS, DESCRIBE_NAMES, keys=["variable"])
+    quantiles = stack([
+        exact_quantiles(numbers, c, DESCRIBE_PROBS, DESCRIBE_NAMES).select(F.lit(c).alias("variable"), *DESCRIBE_NAMES)
+        for c in columns
+    ])
     out = moments.join(quantiles, on="variable", how="left")
     order = ["media", "desv_estandar", "minimo", *DESCRIBE_NAMES, "maximo"]
     return out.select("variable", "n", *[F.round(c, places).alias(c) for c in order])

@@ -19,6 +19,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from slotwise.operators.sizing import broadcast_if_small
+from slotwise.session import shared_dir
 
 ROWS_PER_CELL = 200_000
 MAX_CELLS = 10_000
@@ -98,11 +99,10 @@ def with_rank(
     return running_totals(df, order_by, {name: F.lit(1).cast("long")}, keys, rows_per_cell=rows_per_cell)
 
 
-def value_counts(df: DataFrame, column: str, keys: Sequence[str] = ()) -> DataFrame:
-    """Rows ``_n`` per key and non-null value ``_v``: a hot key is spread over its values, and repeats
-    merge before the shuffle."""
-    values = df.select(*keys, F.col(column).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-    return values.groupBy(*keys, "_v").agg(F.count("*").alias("_n"))
+# A sketch of this accuracy misses a rank by at most N / ACCURACY; brackets are three times as wide.
+ACCURACY = 10_000
+# Up to this many rows in all, Spark's own ``percentile`` holds every group in bounded memory.
+DIRECT_ROWS = 1_000_000
 
 
 def exact_quantiles(
@@ -112,45 +112,78 @@ def exact_quantiles(
     names: Sequence[str],
     keys: Sequence[str] = (),
     rows_per_cell: int | None = None,
+    accuracy: int = ACCURACY,
+    direct_rows: int | None = None,
 ) -> DataFrame:
-    """Exact quantiles with linear interpolation, one row per key (or one row)."""
-    counts = value_counts(df, column, keys).na.drop()
-    return quantiles_of_counts(counts, probabilities, names, keys, rows_per_cell)
-
-
-def quantiles_of_counts(
-    counts: DataFrame,
-    probabilities: Sequence[float],
-    names: Sequence[str],
-    keys: Sequence[str] = (),
-    rows_per_cell: int | None = None,
-) -> DataFrame:
-    """The same from a table of ``value_counts``.
-
-    When few distinct values remain, Spark's ``percentile`` on the counts finishes the work; otherwise
-    the ranks come from ``running_totals``.
+    """Exact quantiles with linear interpolation, one row per key (or one row).
+
+    A count of the column decides the way. A small column goes to ``percentile``. Beyond that, two
+    scans and no shuffle of the rows: the first builds a mergeable sketch per key and reads from
+    it a narrow bracket around every wanted rank. The second counts, per key, the rows below each
+    bracket and keeps the distinct values inside the brackets with their counts: a few per mille of a
+    large group. Exact ranks are then taken among those values only. A group of up to ``accuracy``
+    rows is its own bracket.
     """
-    limit = rows_per_cell or ROWS_PER_CELL
-    keys = list(keys)
-    counts = counts.persist(StorageLevel.MEMORY_AND_DISK)
-    if counts.count() <= limit:
-        probs = F.array(*[F.lit(float(p)) for p in probabilities])
-        picked = counts.groupBy(*keys).agg(F.percentile("_v", probs, F.col("_n")).alias("_q"))
-        return picked.select(*keys, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
-
-    ranked = running_totals(counts, "_v", {"_cum": F.col("_n")}, keys, rows_per_cell=limit)
+    keys, ps = list(keys), [float(p) for p in probabilities]
+    values = df.select(*keys, F.col(column).cast("double").alias("_v")).na.drop()
+    if values.count() <= (DIRECT_ROWS if direct_rows is None else direct_rows):
+        whole = values.groupBy(*keys).agg(F.percentile("_v", F.array(*map(F.lit, ps))).alias("_q"))
+        return whole.select(*keys, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
+    margin = 3.0 / accuracy
+    around = [x for p in ps for x in (max(p - margin, 0.0), min(p + margin, 1.0))]
+    sketch = values.groupBy(*keys).agg(
+        F.count("*").alias("_total"), F.percentile_approx("_v", around, accuracy).alias("_around")
+    )
+    whole = F.col("_total") <= accuracy
+    bounds = []
+    for i in range(len(ps)):
+        bounds += [
+            F.when(whole, F.lit(float("-inf"))).otherwise(F.col("_around")[2 * i]).alias(f"_from{i}"),
+            F.when(whole, F.lit(float("inf"))).otherwise(F.col("_around")[2 * i + 1]).alias(f"_to{i}"),
+        ]
+    limits = sketch.select(*keys, "_total", *bounds)
+    if keys:
+        # Stored, so that a task that runs again compares with the same brackets.
+        shared_dir(df.sparkSession)
+        limits = limits.checkpoint()
+        placed = values.join(broadcast_if_small(limits), on=keys)
+    else:
+        row = limits.first()
+        placed = values.select("_v", *[F.lit(row[c]).alias(c) for c in limits.columns])
+
+    v = F.col("_v")
+    inside = F.lit(False)
+    for i in range(len(ps)):
+        inside = inside | ((v >= F.col(f"_from{i}")) & (v <= F.col(f"_to{i}")))
+    kept = (
+        placed.withColumn("_c", F.when(inside, v))
+        .groupBy(*keys, "_c")
+        .agg(
+            F.count("*").alias("_n"), F.max("_total").alias("_total"),
+            *[F.count_if(v < F.col(f"_from{i}")).alias(f"_below{i}") for i in range(len(ps))],
+            *[F.max(f"_from{i}").alias(f"_from{i}") for i in range(len(ps))],
+        )
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    )
+    # Rows below a bracket that are not themselves candidates of a lower one.
+    skipped = kept.filter(F.col("_c").isNull()).select(
+        *keys, *[F.col(f"_below{i}").alias(f"_skip{i}") for i in range(len(ps))]
+    )
+    candidates = kept.filter(F.col("_c").isNotNull()).drop(*[f"_below{i}" for i in range(len(ps))])
+    ranked = running_totals(candidates, "_c", {"_cum": F.col("_n")}, keys, rows_per_cell=rows_per_cell)
     if keys:
-        totals = counts.groupBy(*keys).agg(F.sum("_n").alias("_total"))
-        ranked = ranked.join(broadcast_if_small(totals), on=keys)
+        ranked = ranked.join(broadcast_if_small(skipped), on=keys, how="left")
     else:
-        total = counts.agg(F.sum("_n")).first()[0]
-        ranked = ranked.withColumn("_total", F.lit(total))
+        row = skipped.first()
+        ranked = ranked.withColumns({f"_skip{i}": F.lit(row[i] if row else 0) for i in range(len(ps))})
     picks = []
-    for p, name in zip(probabilities, names):
-        at = F.lit(float(p)) * (F.col("_total") - 1)
+    for i, (p, name) in enumerate(zip(ps, names)):
+        at = F.lit(p) * (F.col("_total") - 1)
+        upto = F.coalesce(F.col(f"_skip{i}"), F.lit(0)) + F.col("_cum")
+        open_ = F.col("_c") >= F.col(f"_from{i}")
         picks += [
-            F.min(F.when(F.col("_cum") > F.floor(at), F.col("_v"))).alias(f"_lo_{name}"),
-            F.min(F.when(F.col("_cum") > F.ceil(at), F.col("_v"))).alias(f"_hi_{name}"),
+            F.min(F.when(open_ & (upto > F.floor(at)), F.col("_c"))).alias(f"_lo_{name}"),
+            F.min(F.when(open_ & (upto > F.ceil(at)), F.col("_c"))).alias(f"_hi_{name}"),
             F.max(at - F.floor(at)).alias(f"_w_{name}"),
         ]
     found = ranked.groupBy(*keys).agg(*picks)

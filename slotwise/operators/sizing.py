@@ -21,15 +21,12 @@ def require_columns(df: DataFrame, names: Iterable[str]) -> None:
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast only after counting.
 
-    The side is computed once, kept, and counted up to ``max_rows + 1``. A larger side is released
-    and returned without a hint: Spark then shuffles both sides and adaptive execution splits the
+    The side is computed once and kept (in memory, else on disk), so counting it costs no second run.
+    A larger side gets no hint: Spark then shuffles both sides, and adaptive execution splits the
     skewed partitions.
     """
     kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    if kept.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(kept)
-    kept.unpersist()
-    return df
+    return F.broadcast(kept) if kept.count() <= max_rows else kept
 
 
 def drop_null_keys(df: DataFrame, keys: Iterable[str]) -> DataFrame:

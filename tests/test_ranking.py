@@ -29,12 +29,21 @@ def skewed(spark):
     return rows, spark.createDataFrame(rows, "k string, v double")
 
 
-@pytest.mark.parametrize("rows_per_cell", [None, 40])
-def test_quantiles_per_key(skewed, rows_per_cell):
+# The direct way; every group its own bracket; narrow brackets in large groups; the last in cells.
+WAYS = [
+    {},
+    {"direct_rows": 0, "rows_per_cell": 40},
+    {"direct_rows": 0, "accuracy": 100},
+    {"direct_rows": 0, "accuracy": 100, "rows_per_cell": 40},
+]
+
+
+@pytest.mark.parametrize("way", WAYS)
+def test_quantiles_per_key(skewed, way):
     rows, df = skewed
     probs = [0.0, 0.05, 0.25, 0.5, 0.9, 1.0]
     names = [f"q{i}" for i in range(len(probs))]
-    got = ranking.exact_quantiles(df, "v", probs, names, keys=["k"], rows_per_cell=rows_per_cell).collect()
+    got = ranking.exact_quantiles(df, "v", probs, names, keys=["k"], **way).collect()
     groups = {}
     for k, v in rows:
         if k is not None and v is not None:
@@ -45,15 +54,25 @@ def test_quantiles_per_key(skewed, rows_per_cell):
             assert r[n] == pytest.approx(linear_quantile(groups[r.k], p), rel=1e-12)
 
 
-@pytest.mark.parametrize("rows_per_cell", [None, 40])
-def test_quantiles_of_everything(skewed, rows_per_cell):
+@pytest.mark.parametrize("way", WAYS)
+def test_quantiles_of_everything(skewed, way):
     rows, df = skewed
     values = [v for _, v in rows if v is not None]
-    row = ranking.exact_quantiles(df, "v", [0.1, 0.5], ["a", "b"], rows_per_cell=rows_per_cell).first()
+    row = ranking.exact_quantiles(df, "v", [0.1, 0.5], ["a", "b"], **way).first()
     assert row.a == pytest.approx(linear_quantile(values, 0.1))
     assert row.b == pytest.approx(linear_quantile(values, 0.5))
 
 
+def test_brackets_keep_few_rows_of_a_large_group(spark):
+    """Random normal values, all distinct: the exact answer, from a small part of the rows."""
+    df = spark.range(60_000).select(F.randn(7).alias("v")).persist()
+    values = [r.v for r in df.collect()]
+    probs = [0.001, 0.25, 0.5, 0.999]
+    row = ranking.exact_quantiles(df, "v", probs, ["a", "b", "c", "d"], accuracy=1000, direct_rows=0).first()
+    for p, got in zip(probs, row):
+        assert got == pytest.approx(linear_quantile(values, p), rel=1e-12)
+
+
 @pytest.mark.parametrize("descending", [False, True])
 def test_running_totals_in_cells(skewed, descending):
     rows, df = skewed
