@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from slotwise.operators.ranking import running_totals, stable_order
 from slotwise.operators.sizing import broadcast_if_small, drop_null_keys, require_columns
@@ -17,18 +20,29 @@ def scope_cut(
     date_from: str = "2020-01-01",
     date_to: str = "2026-01-01",
     activities: Sequence[str] = ("U",),
+    zone: str | None = None,
 ) -> DataFrame:
-    """One airport, one half-open period in local time, some activities. All three reach the scan."""
+    """One airport, one half-open period in local time, some activities. All three reach the scan.
+
+    The limits are midnights of ``zone`` (else of the session zone) for zoned times.
+    """
     require_columns(flights, ["aeropuerto_oaci", "dt_operacion", "actividad_cod"])
     kind = flights.schema["dt_operacion"].dataType
+    first, end = (_midnight(d, kind, zone) for d in (date_from, date_to))
     return flights.filter(
         (F.col("aeropuerto_oaci") == airport)
-        & (F.col("dt_operacion") >= F.lit(date_from).cast(kind))
-        & (F.col("dt_operacion") < F.lit(date_to).cast(kind))
+        & (F.col("dt_operacion") >= first)
+        & (F.col("dt_operacion") < end)
         & F.col("actividad_cod").isin(*activities)
     )
 
 
+def _midnight(day: str, kind: T.DataType, zone: str | None) -> Column:
+    if zone and isinstance(kind, T.TimestampType):
+        return F.lit(datetime.fromisoformat(day).replace(tzinfo=ZoneInfo(zone)))
+    return F.lit(day).cast(kind)
+
+
 def with_group_size(df: DataFrame, keys: Sequence[str], name: str = "n_obs_grupo") -> DataFrame:
     """Size of each row's group, next to the row; rows with a missing key get null.
 

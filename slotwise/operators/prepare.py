@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from slotwise.functions import cleaning as C
 from slotwise.functions import clock
@@ -54,6 +55,13 @@ def preprocess_log(flights: DataFrame) -> DataFrame:
     })
 
 
+def localise(df: DataFrame, zone: str, ts: str = "dt_operacion") -> DataFrame:
+    """Zoned times as wall-clock times of ``zone``, whatever the session zone; others stay as they are."""
+    if isinstance(df.schema[ts].dataType, T.TimestampType):
+        return df.withColumn(ts, clock.in_zone(ts, zone))
+    return df
+
+
 def with_calendar(df: DataFrame, ts: str = "dt_operacion") -> DataFrame:
     """Minute of day, year, month, weekday from Monday = 0, and 'yyyy-MM'."""
     return df.withColumns({

@@ -29,6 +29,7 @@ class Settings:
     aeropuerto_oaci: str = "SCTE"
     fecha_desde: str = "2020-01-01"
     fecha_hasta: str = "2026-01-01"
+    zona: str = "America/Santiago"
     actividades: Sequence[str] = ("U",)
     slot_gap_min: int = 120
     slot_min_obs: int = 2
@@ -74,9 +75,10 @@ def inventory(spark, folder: str, store: Store, max_files: int = 2, max_rows: in
     return store.table("data_inventory_summary", quality.inventory_summary(index, profile))
 
 
-def integrate(log: DataFrame, monthly: DataFrame, store: Store) -> DataFrame:
-    """Cleaned log with the monthly operation count, stored by year so that periods prune."""
-    joined = enrich.join_monthly_operations(prepare.preprocess_log(log), monthly)
+def integrate(log: DataFrame, monthly: DataFrame, store: Store, s: Settings = Settings()) -> DataFrame:
+    """Cleaned log in local time with the monthly operation count, stored by year so that periods prune."""
+    cleaned = prepare.preprocess_log(prepare.localise(log, s.zona))
+    joined = enrich.join_monthly_operations(cleaned, monthly)
     by_year = joined.withColumn("anio_operacion", F.year("dt_operacion"))
     return store.table("vuelos_con_operaciones", by_year, ["anio_operacion"]).drop("anio_operacion")
 
@@ -129,8 +131,9 @@ def flights_with_weather(
     log: DataFrame, daily: DataFrame, store: Store, s: Settings = Settings()
 ) -> tuple[DataFrame, DataFrame]:
     """Delay label and daily weather for the flights in scope, and the prepared weather."""
-    scope = filters.scope_cut(log, s.aeropuerto_oaci, s.fecha_desde, s.fecha_hasta, s.actividades)
-    scope = store.table("vuelos_scte", scope)
+    scope = filters.scope_cut(
+        log, s.aeropuerto_oaci, s.fecha_desde, s.fecha_hasta, s.actividades, s.zona)
+    scope = store.table("vuelos_scte", prepare.localise(scope, s.zona))
     target = timetable.delay_target(
         scope, s.slot_gap_min, s.slot_min_obs, s.grupo_min_obs, s.umbral_retraso_min)
     features = store.table("clima_scte_features", weather.prepare_weather(daily, s.rumbo_pista))

@@ -102,6 +102,16 @@ def test_scope_cut_reaches_the_scan(spark):
         assert part in plan
 
 
+def test_scope_and_clock_of_another_zone(spark):
+    """Midnight in Santiago is 03:00 UTC in summer; the session runs on UTC."""
+    rows = [("SCTE", datetime(2020, 1, 1, 2, 59), "U"), ("SCTE", datetime(2020, 1, 1, 3, 0), "U")]
+    df = spark.createDataFrame(rows, "aeropuerto_oaci string, dt_operacion timestamp, actividad_cod string")
+    cut = filters.scope_cut(df, zone="America/Santiago")
+    assert cut.count() == 1
+    assert prepare.localise(cut, "America/Santiago").first().dt_operacion == datetime(2020, 1, 1)
+    assert prepare.with_calendar(prepare.localise(cut, "America/Santiago")).first().min_dia == 0
+
+
 def test_missing_columns_are_named(spark):
     with pytest.raises(ValueError, match="actividad_cod"):
         filters.scope_cut(spark.range(1))
