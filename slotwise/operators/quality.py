@@ -20,7 +20,6 @@ CATEGORICAL_COLUMNS = [
     "aeropuerto_oaci", "aerolinea_dgac", "numero_vuelo", "modelo_avion",
     "tipo_operacion", "actividad_cod", "internacional_domestico",
 ]
-DISTINCT_COLUMNS_PER_PASS = 4
 
 
 def _unpivot(one_row: DataFrame, columns: Sequence[str], names: Sequence[str], key: str) -> DataFrame:
@@ -36,30 +35,30 @@ def column_profile(
 ) -> DataFrame:
     """Type, nulls, share of nulls, distinct values and an example for every column.
 
-    Nulls and examples take one pass without a shuffle of rows. Distinct counts multiply rows by the
-    number of columns counted together, so they go a few columns per pass. The example is the
+    Counting the distinct values of several columns together would multiply the rows by their number,
+    so each column is scanned alone: still one read of the stored data in all. The example is the
     smallest value as text, which does not depend on the order of rows. With ``approx`` distinct counts
     are estimates, and the whole profile is one pass.
     """
     distinct = F.approx_count_distinct if approx else F.count_distinct
     columns = list(columns or df.columns)
     types = {f.name: f.dataType.simpleString() for f in df.schema}
-    parts = []
-    step = len(columns) if approx else DISTINCT_COLUMNS_PER_PASS
-    for start in range(0, len(columns), step):
-        some = columns[start:start + step]
-        cells: list[Column] = []
-        for c in some:
-            cells += [
-                F.lit(types[c]).alias(f"{c}__tipo"),
-                (F.count("*") - F.count(c)).alias(f"{c}__nulos"),
-                F.round((F.count("*") - F.count(c)) / F.count("*") * 100, 2).alias(f"{c}__pct_nulos"),
-                distinct(c).alias(f"{c}__valores_distintos"),
-                F.substring(F.min(F.col(c).cast("string")), 1, 28).alias(f"{c}__ejemplo"),
-            ]
-        names = ["tipo", "nulos", "pct_nulos", "valores_distintos", "ejemplo"]
-        parts.append(_unpivot(df.agg(*cells), some, names, "columna"))
-    return stack(parts)
+    names = ["tipo", "nulos", "pct_nulos", "valores_distintos", "ejemplo"]
+
+    def cells(c: str) -> list[Column]:
+        empty = F.count("*") - F.count(c)
+        return [
+            F.lit(types[c]).alias(f"{c}__tipo"),
+            empty.alias(f"{c}__nulos"),
+            F.round(empty / F.count("*") * 100, 2).alias(f"{c}__pct_nulos"),
+            distinct(c).alias(f"{c}__valores_distintos"),
+            F.substring(F.min(F.col(c).cast("string")), 1, 28).alias(f"{c}__ejemplo"),
+        ]
+
+    passes = [columns] if approx else [[c] for c in columns]
+    return stack([
+        _unpivot(df.agg(*[x for c in some for x in cells(c)]), some, names, "columna") for some in passes
+    ])
 
 
 DESCRIBE_PROBS = [0.01, 0.25, 0.5, 0.75, 0.95, 0.99]
