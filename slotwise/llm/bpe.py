@@ -132,13 +132,18 @@ def merged(words: list[bytes], vocab: Vocabulary) -> tuple[np.ndarray, np.ndarra
 
 
 class Encoder:
-    """Encodes lists of texts; the distinct pre-tokens of one call share one pair index."""
+    """Encodes lists of texts; the distinct pre-tokens of one call share one pair index.
 
-    def __init__(self, content: str) -> None:
+    Without ``added`` the strings of added tokens are ordinary text.
+    """
+
+    def __init__(self, content: str, added: bool = True) -> None:
         self.vocab = Vocabulary(content)
+        if not added:
+            self.vocab.added = {}
         self.pattern = regex.compile(PRE_TOKENS)
-        added = sorted(self.vocab.added, key=len, reverse=True)
-        self.added = regex.compile("(" + "|".join(map(regex.escape, added)) + ")") if added else None
+        strings = sorted(self.vocab.added, key=len, reverse=True)
+        self.added = regex.compile("(" + "|".join(map(regex.escape, strings)) + ")") if strings else None
 
     def pre_tokens(self, text: str) -> list[str]:
         """Pre-tokens; an added token stands alone (no pre-token mixes letters and signs, so none equals it)."""

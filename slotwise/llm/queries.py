@@ -8,7 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotwise.llm import bpe, chat, fingerprints, licenses, warc
+from slotwise.llm import (
+    bpe, chat, decontaminate, fingerprints, language, licenses, minhash, substrings, token_scan, warc,
+)
+from slotwise.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 VOCABULARY = "byte_bpe_50k.json"
@@ -18,11 +21,36 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate class of every document."""
+    return minhash.classes(table(spark, sf_dir, "documents"))
+
+
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, with the item."""
+    found = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "n_items", "similarity", "first_word", "n_windows")
+
+
 def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License labels of every document."""
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op4_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that stand in passages of earlier documents, removed."""
+    out = substrings.remove_repeats(table(spark, sf_dir, "documents"))
+    kept = F.sha2(F.col("kept").cast("binary"), 256)
+    return out.select("doc_id", "n_words", "n_removed", kept.alias("kept_sha256"))
+
+
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document, counted in flat token files."""
+    path = scratch_path(spark, "tokens")
+    token_scan.write_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.path(VOCABULARY))
+    return token_scan.scan(spark, path).select("doc_id", "n_tokens", "first_token")
+
+
 def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations, and one whose texts hold control strings, as training text, read back."""
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -39,6 +67,11 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edit_report(table(spark, sf_dir, "documents"))
 
 
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document."""
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-pair encoding of every document, and its decoding."""
     return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
@@ -50,9 +83,14 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_minhash": op1_minhash,
+    "op2_decontamination": op2_decontamination,
     "op3_licenses": op3_licenses,
+    "op4_substrings": op4_substrings,
+    "op5_token_counts": op5_token_counts,
     "op6_chat": op6_chat,
     "op7_fingerprints": op7_fingerprints,
+    "op8_language": op8_language,
     "op9_bpe": op9_bpe,
     "op10_warc": op10_warc,
 }
