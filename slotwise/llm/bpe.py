@@ -29,7 +29,7 @@ from slotwise.llm.common import chosen, gathered, small_batches
 PRE_TOKENS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 PLAIN_BYTES = [*range(33, 127), *range(161, 173), *range(174, 256)]
 
-BLOCK_BYTES = 24_000_000
+BLOCK_BYTES = 8_000_000
 NEVER = np.int32(2**31 - 1)
 
 
