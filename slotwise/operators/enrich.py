@@ -46,32 +46,32 @@ def as_of_join(
 ) -> DataFrame:
     """Latest reading at or before each left row, per station; no reading gives nulls.
 
-    Every reading is valid until the next one of its station. Its validity is listed bucket by bucket
-    (up to the last left row), so the join is an equality on station and bucket with a range check on
-    the few readings of that bucket. Left rows are neither sorted nor gathered by station.
+    Time is cut into buckets. A left row looks among the readings of its own bucket, and else takes the
+    last one of the buckets before; that is found on a table of one row per station and bucket that
+    holds left rows or readings. So the join is an equality that makes no row twice, and left rows are
+    neither sorted nor gathered by station. Of several readings at one instant the largest is taken
+    whole, by its values in their order.
     """
-    stations = W.partitionBy(by).orderBy("_from")
-    horizon = left.agg(F.max(left_ts)).first()[0]
-    valid = (
+    reading = F.struct(F.col("_from"), F.col("_values"))
+    known = (
         readings.filter(F.col(by).isNotNull() & F.col(reading_ts).isNotNull())
-        .groupBy(by, F.col(reading_ts).alias("_from"))
-        .agg(*[F.max(v).alias(v) for v in values])
-        .withColumn("_to", F.lead("_from").over(stations))
-        .filter(F.col("_from") <= F.lit(horizon))
+        .groupBy(F.col(by).alias("_by"), F.col(reading_ts).alias("_from"))
+        .agg(F.max(F.struct(*values)).alias("_values"))
+        .groupBy("_by", _bucket("_from", bucket_seconds).alias("_bucket"))
+        .agg(F.collect_list(reading).alias("_inside"), F.max(reading).alias("_last"))
     )
-    last = F.least(F.coalesce(F.col("_to"), F.lit(horizon)), F.lit(horizon))
-    listed = valid.withColumn(
-        "_bucket", F.explode(F.sequence(_bucket("_from", bucket_seconds), _bucket(last, bucket_seconds)))
-    ).withColumnRenamed(by, "_by")
-    side = broadcast_if_small(listed)
-    match = (
-        (F.col(by) == F.col("_by"))
-        & (_bucket(left_ts, bucket_seconds) == F.col("_bucket"))
-        & (F.col(left_ts) >= F.col("_from"))
-        & (F.col("_to").isNull() | (F.col(left_ts) < F.col("_to")))
+    asked = left.select(F.col(by).alias("_by"), _bucket(left_ts, bucket_seconds).alias("_bucket")).na.drop().distinct()
+    before = W.partitionBy("_by").orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
+    side = (
+        known.join(asked.withColumn("_asked", F.lit(True)), on=["_by", "_bucket"], how="full")
+        .withColumn("_before", F.last("_last", ignorenulls=True).over(before))
+        .filter("_asked").select("_by", "_bucket", "_inside", "_before")
     )
-    return left.join(side, on=match, how="left").select(
-        *left.columns, F.col("_from").alias("lectura_ts"), *values
+    match = (F.col(by) == F.col("_by")) & (_bucket(left_ts, bucket_seconds) == F.col("_bucket"))
+    latest = F.array_max(F.filter("_inside", lambda r: r["_from"] <= F.col(left_ts)))
+    found = left.join(broadcast_if_small(side), on=match, how="left").withColumn("_found", F.coalesce(latest, "_before"))
+    return found.select(
+        *left.columns, F.col("_found._from").alias("lectura_ts"), *[F.col(f"_found._values.{v}").alias(v) for v in values]
     )
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from slotwise.operators.ranking import running_totals, stable_order
+from slotwise.operators.ranking import rank_limits, stable_order
 from slotwise.operators.sizing import broadcast_if_small, drop_null_keys, require_columns
 
 
@@ -80,35 +80,24 @@ def head_by(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
-def sample_exactly(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
-    """``n`` rows without replacement, the same on every run: those with the smallest row hashes.
+def sample_exactly(df: DataFrame, key: str | Sequence[str], n: int, seed: int = 42) -> DataFrame:
+    """``n`` rows without replacement, the same on every run: those with the smallest hashes of ``key``.
 
-    Hashes are counted and ranked cell by cell, which gives one limit value; the rows themselves are
-    then only filtered by it, without a sort. Rows with equal hashes are copies of one another, so
-    any of them will do at the limit.
+    The limiting hash is found from a sketch and a count (two scans, no sort of the table); rows are then
+    only filtered by it. Of rows that share the key at the limit, the smallest by all columns are taken.
     """
-    first = [key, *[c for c in df.columns if c != key]]
-    hashed = df.withColumn("_h", stable_order(*first, seed=seed))
-    counts = hashed.groupBy("_h").agg(F.count("*").alias("_copies"))
-    ranked = running_totals(counts, "_h", {"_cum": F.col("_copies")})
-    edge = (
-        ranked.filter(F.col("_cum") >= n)
-        .agg(F.min_by(F.struct("_h", (F.col("_cum") - F.col("_copies")).alias("before")), "_h").alias("e"))
-        .first()["e"]
-    )
-    if edge is None:
+    keys = [key] if isinstance(key, str) else list(key)
+    hashed = df.withColumn("_h", F.coalesce(stable_order(*keys, seed=seed), F.lit(0).cast("long")))
+    total = df.count()
+    if total <= n:
         return df
-    below = hashed.filter(F.col("_h") < edge["_h"])
-    left = n - edge["before"]
-    # Copies merge on the map side and are written out again as often as needed.
-    at_edge = (
-        hashed.filter(F.col("_h") == edge["_h"])
-        .groupBy(*hashed.columns).agg(F.count("*").alias("_copies"))
-        .withColumn("_i", F.explode(F.sequence(F.lit(1).cast("long"), F.least("_copies", F.lit(left)))))
-        .drop("_copies", "_i")
-        .limit(left)
-    )
-    return below.unionByName(at_edge).drop("_h")
+    edge = rank_limits(hashed, "_h", [n / total], ranks=[n]).first()
+    below = hashed.filter(F.col("_h") <= edge["_limit0"])
+    left = n - edge["_upto0"]
+    if not left:
+        return below.drop("_h")
+    at_edge = hashed.filter(F.col("_h") == hashed.filter(F.col("_h") > edge["_limit0"]).agg(F.min("_h")).first()[0])
+    return below.unionByName(at_edge.orderBy(*df.columns).limit(left)).drop("_h")
 
 
 def stratified_parts(
@@ -121,25 +110,24 @@ def stratified_parts(
 ) -> DataFrame:
     """Number the rows 0, 1, .. so that each part holds its fraction of every stratum.
 
-    The limits are exact ranks of a hash of the unique ``key`` within the stratum; rows are compared
-    with the limits of their stratum, never sorted.
+    The limits are exact ranks of a hash of the unique ``key`` within the stratum, found without a sort
+    of the rows; rows are only compared with the limits of their stratum. Rows whose stratum is missing
+    are a stratum of their own.
     """
     hashed = df.withColumn("_h", stable_order(key, seed=seed))
-    counts = hashed.groupBy(stratum, "_h").agg(F.count("*").alias("_copies"))
-    ranked = running_totals(counts, "_h", {"_cum": F.col("_copies")}, keys=[stratum])
-    sizes = counts.groupBy(stratum).agg(F.sum("_copies").alias("_size"))
-    placed = ranked.join(broadcast_if_small(sizes), on=stratum)
-    shares, limits = 0.0, []
-    for i, fraction in enumerate(fractions[:-1]):
-        shares += fraction
-        upto = F.round(F.lit(shares) * F.col("_size"))
-        limits.append(F.max(F.when(F.col("_cum") <= upto, F.col("_h"))).alias(f"_limit{i}"))
-    edges = placed.groupBy(stratum).agg(*limits)
+    shares, total = [], 0.0
+    for fraction in fractions[:-1]:
+        total += fraction
+        shares.append(total)
+    if not shares:
+        return df.withColumn(name, F.lit(0))
+    edges = rank_limits(hashed, "_h", shares, [stratum]).withColumnRenamed(stratum, "_stratum")
     part = F.lit(0)
-    for i in range(len(limits)):
+    for i in range(len(shares)):
         part = part + F.when(F.col("_h") <= F.col(f"_limit{i}"), 0).otherwise(1)
+    side = broadcast_if_small(edges.drop(*[f"_upto{i}" for i in range(len(shares))]))
     return (
-        hashed.join(broadcast_if_small(edges), on=stratum)
+        hashed.join(side, on=F.col(stratum).eqNullSafe(F.col("_stratum")), how="left")
         .withColumn(name, part)
-        .drop("_h", *[f"_limit{i}" for i in range(len(limits))])
+        .select(*df.columns, name)
     )

@@ -1,6 +1,7 @@
 """Exact evaluation of a score column against a 0/1 label.
 
-Rows are merged to counts per distinct score first. Curves need running counts over the scores from
+Rows without a score (null or NaN) or without a label count in no metric. Measures that need a class
+which is not there are null. Rows are merged to counts per distinct score first. Curves need running counts over the scores from
 high to low; those come from ``running_totals``, which orders scores cell by cell when there are many.
 """
 
@@ -13,15 +14,20 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from slotwise.functions import binning as B
-from slotwise.operators.ranking import exact_quantiles, running_totals
+from slotwise.operators.ranking import exact_quantiles, running_totals, stored
+
+
+def scored_rows(df: DataFrame, label: str, score: str) -> DataFrame:
+    """Rows that have a label and a score."""
+    return df.filter(F.col(label).isNotNull() & F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double")))
 
 
 def score_counts(df: DataFrame, label: str, score: str) -> DataFrame:
     """Positives and negatives per distinct score."""
     y = F.col(label).cast("long")
     return (
-        df.select(F.col(score).cast("double").alias("umbral"), y.alias("_y"))
-        .na.drop()
+        scored_rows(df, label, score)
+        .select(F.col(score).cast("double").alias("umbral"), y.alias("_y"))
         .groupBy("umbral")
         .agg(F.sum("_y").alias("_pos"), F.sum(1 - F.col("_y")).alias("_neg"))
     )
@@ -29,25 +35,24 @@ def score_counts(df: DataFrame, label: str, score: str) -> DataFrame:
 
 def curve_points(df: DataFrame, label: str, score: str, rows_per_cell: int | None = None) -> DataFrame:
     """Per distinct score, as a threshold: true and false positives, and the totals."""
-    counts = score_counts(df, label, score)
+    counts = stored(score_counts(df, label, score))
     running = running_totals(
         counts, "umbral", {"tp": F.col("_pos"), "fp": F.col("_neg")}, descending=True,
-        rows_per_cell=rows_per_cell,
+        rows_per_cell=rows_per_cell, is_stored=True,
     )
-    # The last running values are the totals.
-    totals = running.agg(F.max("tp").alias("tp"), F.max("fp").alias("fp")).first()
+    totals = counts.agg(F.sum("_pos").alias("tp"), F.sum("_neg").alias("fp")).first()
     return running.withColumns({
-        "positivos": F.lit(totals["tp"]).cast("long"), "negativos": F.lit(totals["fp"]).cast("long"),
+        "positivos": F.lit(totals["tp"] or 0).cast("long"), "negativos": F.lit(totals["fp"] or 0).cast("long"),
     })
 
 
 def _ratio(a: Column, b: Column) -> Column:
-    return F.coalesce(a / F.nullif(b, F.lit(0)), F.lit(0.0))
+    return F.coalesce(F.try_divide(a, b), F.lit(0.0))
 
 
 def roc_curve(df: DataFrame, label: str, score: str) -> DataFrame:
     return curve_points(df, label, score).select(
-        "umbral", (F.col("fp") / F.col("negativos")).alias("fpr"), (F.col("tp") / F.col("positivos")).alias("tpr")
+        "umbral", F.try_divide("fp", "negativos").alias("fpr"), F.try_divide("tp", "positivos").alias("tpr")
     )
 
 
@@ -55,19 +60,19 @@ def precision_recall_curve(df: DataFrame, label: str, score: str) -> DataFrame:
     return curve_points(df, label, score).select(
         "umbral",
         (F.col("tp") / (F.col("tp") + F.col("fp"))).alias("precision"),
-        (F.col("tp") / F.col("positivos")).alias("recall"),
+        F.try_divide("tp", "positivos").alias("recall"),
     )
 
 
 def _area(points: DataFrame) -> Column:
     """Area under the ROC curve from its steps: a tie between classes counts one half."""
     p, n = F.col("positivos").cast("double"), F.col("negativos").cast("double")
-    return F.sum(F.col("_neg") * (F.col("tp") - F.col("_pos") / 2.0) / p / n)
+    return F.sum(F.try_divide(F.col("_neg") * (F.col("tp") - F.col("_pos") / 2.0), p * n))
 
 
 def _average_precision() -> Column:
     """Step sum of recall gains times precision."""
-    gain = F.col("_pos") / F.col("positivos")
+    gain = F.try_divide("_pos", "positivos")
     return F.sum(gain * F.col("tp") / (F.col("tp") + F.col("fp")))
 
 
@@ -78,7 +83,10 @@ def roc_auc(df: DataFrame, label: str, score: str) -> DataFrame:
 
 def auc_value(df: DataFrame, label: str, score: str) -> float:
     """The area as a number, for choosing among models."""
-    return float(roc_auc(df, label, score).first()["roc_auc"])
+    found = roc_auc(df, label, score).first()["roc_auc"]
+    if found is None:
+        raise ValueError("an area needs scores of both classes")
+    return float(found)
 
 
 def average_precision(df: DataFrame, label: str, score: str) -> DataFrame:
@@ -87,22 +95,22 @@ def average_precision(df: DataFrame, label: str, score: str) -> DataFrame:
 
 def lift(df: DataFrame, label: str, score: str) -> DataFrame:
     """Average precision over the base rate."""
-    rate = F.max("positivos") / (F.max("positivos") + F.max("negativos"))
+    rate = F.try_divide(F.max("positivos"), F.max("positivos") + F.max("negativos"))
     return curve_points(df, label, score).agg(
-        rate.alias("tasa_base"), (_average_precision() / rate).alias("lift_vs_azar")
+        rate.alias("tasa_base"), F.try_divide(_average_precision(), rate).alias("lift_vs_azar")
     )
 
 
 def brier(df: DataFrame, label: str, score: str) -> DataFrame:
-    return df.agg(F.avg(F.pow(F.col(score) - F.col(label), F.lit(2))).alias("brier"))
+    return scored_rows(df, label, score).agg(F.avg(F.pow(F.col(score) - F.col(label), F.lit(2))).alias("brier"))
 
 
 def threshold_metrics(df: DataFrame, label: str, score: str, threshold: float = 0.5) -> DataFrame:
     """Accuracy, precision, recall and F1 at a threshold; a division by zero gives 0."""
     y, hit = F.col(label) == 1, F.col(score) >= threshold
     tp, fp, fn = F.count_if(y & hit), F.count_if(~y & hit), F.count_if(y & ~hit)
-    return df.agg(
-        (F.count_if(y == hit) / F.count("*")).alias("accuracy"),
+    return scored_rows(df, label, score).agg(
+        F.try_divide(F.count_if(y == hit), F.count("*")).alias("accuracy"),
         _ratio(tp, tp + fp).alias("precision"),
         _ratio(tp, tp + fn).alias("recall"),
         _ratio(2 * tp, 2 * tp + fp + fn).alias("f1"),
@@ -112,7 +120,7 @@ def threshold_metrics(df: DataFrame, label: str, score: str, threshold: float =
 def confusion_matrix(df: DataFrame, label: str, score: str, threshold: float = 0.5) -> DataFrame:
     """All four cells of real against predicted, empty ones included."""
     y, hit = F.col(label) == 1, F.col(score) >= threshold
-    one = df.agg(
+    one = scored_rows(df, label, score).agg(
         F.count_if(~y & ~hit).alias("c00"), F.count_if(~y & hit).alias("c01"),
         F.count_if(y & ~hit).alias("c10"), F.count_if(y & hit).alias("c11"),
     )
@@ -127,10 +135,11 @@ def calibration(df: DataFrame, label: str, score: str, bins: int = 10) -> DataFr
     """Mean score against mean outcome in quantile bins of the score; equal edges merge."""
     probs = [i / bins for i in range(bins + 1)]
     names = [f"e{i}" for i in range(bins + 1)]
-    row = exact_quantiles(df, score, probs, names).first()
-    edges = sorted({row[n] for n in names})
+    rows = scored_rows(df, label, score)
+    row = exact_quantiles(rows, score, probs, names).first()
+    edges = sorted({row[n] for n in names}) if row else [0.0, 1.0]
     return (
-        df.groupBy(B.quantile_band(score, edges).alias("grupo"))
+        rows.groupBy(B.quantile_band(score, edges).alias("grupo"))
         .agg(
             F.count("*").alias("n"),
             F.avg(score).alias("score_medio"),
@@ -143,7 +152,7 @@ def metric_row(df: DataFrame, label: str, score: str, model: str, features: str)
     """One report row: base rate, area, average precision, lift, Brier, precision, recall and F1."""
     kept = df.select(F.col(label).cast("int").alias("y"), F.col(score).cast("double").alias("p"))
     points = curve_points(kept, "y", "p")
-    rate = F.max("positivos") / (F.max("positivos") + F.max("negativos"))
+    rate = F.try_divide(F.max("positivos"), F.max("positivos") + F.max("negativos"))
     # Every metric is a sum over distinct scores, so one pass over the counts gives them all.
     s, n = F.col("umbral"), F.col("_pos") + F.col("_neg")
     squared = F.col("_pos") * F.pow(s - 1, F.lit(2)) + F.col("_neg") * F.pow(s, F.lit(2))
@@ -156,8 +165,8 @@ def metric_row(df: DataFrame, label: str, score: str, model: str, features: str)
         F.round(rate, 4).alias("tasa_base_test"),
         F.round(_area(points), 4).alias("roc_auc"),
         F.round(_average_precision(), 4).alias("average_precision"),
-        F.round(_average_precision() / rate, 3).alias("lift_vs_azar"),
-        F.round(F.sum(squared) / F.sum(n), 4).alias("brier"),
+        F.round(F.try_divide(_average_precision(), rate), 3).alias("lift_vs_azar"),
+        F.round(F.try_divide(F.sum(squared), F.sum(n)), 4).alias("brier"),
         F.round(_ratio(tp, tp + fp), 4).alias("precision_u050"),
         F.round(_ratio(tp, tp + fn), 4).alias("recall_u050"),
         F.round(_ratio(2 * tp, 2 * tp + fp + fn), 4).alias("f1_u050"),
@@ -182,6 +191,12 @@ def mark_selected(metrics: DataFrame, measure: str = "roc_auc_val", tie: Sequenc
     return metrics.withColumn("seleccionado", place == 1)
 
 
+def test_area_pivot(metrics: DataFrame, algorithms: Sequence[str]) -> DataFrame:
+    """Area on the test rows by feature set (rows) and algorithm (columns), of a small result table."""
+    return metrics.groupBy("features").agg(
+        *[F.max(F.when(F.col("modelo") == a, F.col("roc_auc"))).alias(a) for a in algorithms])
+
+
 def deployment_gate(
     metrics: DataFrame, with_weather: Sequence[str], without_weather: Sequence[str]
 ) -> DataFrame:

@@ -5,19 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from slotwise.functions import cleaning as C
 from slotwise.functions import clock
-from slotwise.operators.ranking import exact_quantiles
+from slotwise.operators.ranking import column_quantiles, exact_quantiles, with_rank
 from slotwise.operators.sizing import broadcast_if_small, require_columns
 
-# Above this many distinct categories their codes are no longer numbered in one task.
-CATEGORIES_IN_ONE_TASK = 1_000_000
-
-
 def impute_group_median(
     df: DataFrame, column: str, group: str, flag: str | None = None
 ) -> DataFrame:
@@ -78,22 +73,18 @@ def impute_medians(
 ) -> DataFrame:
     """Fill each column with its exact median in ``learn_on`` (the training rows)."""
     source = learn_on if learn_on is not None else df
-    fills = {}
-    for c in columns:
-        row = exact_quantiles(source, c, [0.5], ["m"]).first()
-        if row and row["m"] is not None:
-            fills[c] = row["m"]
+    found = column_quantiles(source, columns, [0.5], ["m"]).collect()  # a row per column
+    fills = {r["variable"]: r["m"] for r in found}
     return df.withColumns({c: F.col(c).cast("double") for c in columns}).na.fill(fills)
 
 
 def category_table(df: DataFrame, column: str, code: str) -> DataFrame:
-    """Distinct non-null values with their 0-based alphabetical position."""
-    values = df.select(column).na.drop().distinct().persist()
-    if values.count() <= CATEGORIES_IN_ONE_TASK:
-        return values.withColumn(code, (F.row_number().over(W.orderBy(column)) - 1).cast("long"))
-    # Range-sorted partitions, numbered with one small count per partition.
-    numbered = values.sort(column).rdd.zipWithIndex().map(lambda pair: (pair[0][0], pair[1]))
-    return numbered.toDF(f"{column} string, {code} long")
+    """Distinct non-null values with their 0-based alphabetical position.
+
+    Values are dealt by range and numbered inside their cell; the cells before it give the offset.
+    """
+    values = df.select(column).na.drop().distinct()
+    return with_rank(values, column, name=code).withColumn(code, F.col(code) - 1)
 
 
 def category_code(df: DataFrame, column: str, name: str) -> DataFrame:

@@ -166,8 +166,25 @@ def yearly_volume(df: DataFrame, ts: str = "dt_operacion") -> DataFrame:
     return df.filter(F.col(ts).isNotNull()).groupBy(year).agg(F.count("*").alias("vuelos"))
 
 
-def count_pivot(df: DataFrame, row: Column, column: str, values: Sequence[str], scale: float | None = None) -> DataFrame:
-    """Counts of ``row`` by each listed value of ``column``; a missing pair is zero."""
+MOST_COLUMNS = 1000
+
+
+def _found(df: DataFrame, value: Column) -> list:
+    """The values that become columns, in order."""
+    rows = df.select(value.alias("v")).filter("v is not null").distinct().limit(MOST_COLUMNS + 1).collect()
+    if len(rows) > MOST_COLUMNS:
+        raise ValueError(f"more than {MOST_COLUMNS} values to make columns of")
+    return sorted(r["v"] for r in rows)
+
+
+def count_pivot(
+    df: DataFrame, row: Column, column: str, values: Sequence[str] | None = None, scale: float | None = None
+) -> DataFrame:
+    """Counts of ``row`` by each value of ``column`` (all there are, unless listed); a missing pair is zero.
+
+    Rows with a missing value count in no column.
+    """
+    values = _found(df, F.col(column)) if values is None else values
     counted = [
         F.count_if(F.col(column) == v) / scale if scale else F.count_if(F.col(column) == v) for v in values
     ]
@@ -175,9 +192,10 @@ def count_pivot(df: DataFrame, row: Column, column: str, values: Sequence[str],
 
 
 def top_by_year(
-    df: DataFrame, column: str, ts: str, years: Sequence[int], n: int = 12
+    df: DataFrame, column: str, ts: str, years: Sequence[int] | None = None, n: int = 12
 ) -> DataFrame:
-    """Thousands of rows per year for the ``n`` most frequent values."""
+    """Thousands of rows per year (all there are, unless listed) for the ``n`` most frequent values."""
+    years = _found(df, F.year(ts)) if years is None else years
     best = among_top(df, column, n)
     return best.groupBy(column).agg(
         *[(F.count_if(F.year(ts) == y) / 1000).alias(f"y{y}") for y in years]

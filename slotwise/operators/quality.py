@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from slotwise.functions import binning as B
 from slotwise.functions import cleaning as C
 from slotwise.operators.enrich import stack
-from slotwise.operators.ranking import exact_quantiles
+from slotwise.operators.ranking import column_quantiles, exact_quantiles
 from slotwise.operators.sizing import broadcast_if_small
 
 # Columns that mark the time axis, and categorical columns worth counting.
@@ -50,7 +50,7 @@ def column_profile(
         return [
             F.lit(types[c]).alias(f"{c}__tipo"),
             empty.alias(f"{c}__nulos"),
-            F.round(empty / F.count("*") * 100, 2).alias(f"{c}__pct_nulos"),
+            F.round(F.try_divide(empty, F.count("*")) * 100, 2).alias(f"{c}__pct_nulos"),
             distinct(c).alias(f"{c}__valores_distintos"),
             F.substring(F.min(F.col(c).cast("string")), 1, 28).alias(f"{c}__ejemplo"),
         ]
@@ -68,8 +68,8 @@ DESCRIBE_NAMES = ["p1", "p25", "p50", "p75", "p95", "p99"]
 def describe(df: DataFrame, columns: Sequence[str], places: int = 2) -> DataFrame:
     """Count, mean, sample deviation, extremes and exact percentiles per numeric column.
 
-    The moments of all columns are one pass without a shuffle of rows; percentiles read their column
-    alone.
+    The moments of all columns are one pass, the percentiles of all columns two, without a shuffle of
+    rows.
     """
     numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns if c in df.columns])
     columns = numbers.columns
@@ -83,10 +83,7 @@ def describe(df: DataFrame, columns: Sequence[str], places: int = 2) -> DataFram
     moments = _unpivot(
         numbers.agg(*cells), columns, ["n", "media", "desv_estandar", "minimo", "maximo"], "variable"
     )
-    quantiles = stack([
-        exact_quantiles(numbers, c, DESCRIBE_PROBS, DESCRIBE_NAMES).select(F.lit(c).alias("variable"), *DESCRIBE_NAMES)
-        for c in columns
-    ])
+    quantiles = column_quantiles(numbers, columns, DESCRIBE_PROBS, DESCRIBE_NAMES)
     out = moments.join(quantiles, on="variable", how="left")
     order = ["media", "desv_estandar", "minimo", *DESCRIBE_NAMES, "maximo"]
     return out.select("variable", "n", *[F.round(c, places).alias(c) for c in order])
@@ -116,7 +113,7 @@ def outlier_summary(df: DataFrame, column: str, factor: float = 1.5, places: int
         lit(high).alias("limite_superior"),
         below.alias("outliers_inferiores"),
         above.alias("outliers_superiores"),
-        F.round(100 * (below + above) / F.count(v), 2).alias("pct_outliers"),
+        F.round(F.try_divide(100 * (below + above), F.count(v)), 2).alias("pct_outliers"),
         F.round(F.max(v), places).alias("maximo"),
         F.round(F.min(v), places).alias("minimo"),
     )
@@ -153,7 +150,7 @@ def duplicate_summary(df: DataFrame, business_key: Sequence[str]) -> DataFrame:
         extra, total = F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)), F.sum("_n")
         return groups.agg(
             F.lit(kind).alias("tipo"), extra.alias("cantidad"),
-            F.round(100 * extra / total, 3).alias("pct_total"),
+            F.round(F.try_divide(100 * extra, total), 3).alias("pct_total"),
         )
 
     return surplus("filas_identicas", df.columns).unionByName(surplus("llave_de_negocio", business_key))
@@ -190,10 +187,10 @@ def imputed_share(df: DataFrame, flag: str) -> DataFrame:
 
 
 def null_rates(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Percentage of nulls of the columns that have any, largest first."""
+    """Percentage of nulls of the columns that have any, largest first; none for an empty table."""
     columns = list(columns or df.columns)
     one = df.agg(*[
-        F.round((F.count("*") - F.count(c)) / F.count("*") * 100, 2).alias(c) for c in columns
+        F.round(F.try_divide(F.count("*") - F.count(c), F.count("*")) * 100, 2).alias(c) for c in columns
     ])
     return (
         one.unpivot([], columns, "columna", "pct_nulos")
@@ -232,7 +229,8 @@ def histogram(
 ) -> DataFrame:
     """Counts and densities of equal-width bins over the whole range (per group of ``by``).
 
-    The range is the given one or the extremes of each group; one pass finds those, the next counts.
+    The range is the given one or the extremes of each group; one pass finds those, the next counts. A
+    range without width has one bin, whose density is null.
     """
     keys = [by] if by else []
     base = df.select(*keys, value.cast("double").alias("_v")).filter(F.col("_v").isNotNull())
@@ -258,7 +256,7 @@ def histogram(
     width = (F.col("_hi") - F.col("_lo")) / bins
     return counted.select(
         *keys, "bin", (F.col("_lo") + width * (F.col("bin") - 1)).alias("desde"), "n",
-        (F.col("n") / (total * width)).alias("densidad"),
+        F.try_divide(F.col("n"), total * width).alias("densidad"),
     )
 
 

@@ -8,8 +8,8 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A lookup of this many narrow rows is some ten megabytes on each executor.
-BROADCAST_ROWS = 200_000
+# What a broadcast side may hold on each executor.
+BROADCAST_BYTES = 16 << 20
 
 
 def require_columns(df: DataFrame, names: Iterable[str]) -> None:
@@ -18,15 +18,17 @@ def require_columns(df: DataFrame, names: Iterable[str]) -> None:
         raise ValueError(f"missing columns: {', '.join(missing)}")
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only after counting.
+def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Hint a broadcast only after measuring the side's bytes.
 
-    The side is computed once and kept (in memory, else on disk), so counting it costs no second run.
-    A larger side gets no hint: Spark then shuffles both sides, and adaptive execution splits the
+    The side is computed once and kept (in memory, else on disk); what it then holds is its size. A
+    larger side gets no hint: Spark then shuffles both sides, and adaptive execution splits the
     skewed partitions.
     """
     kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    return F.broadcast(kept) if kept.count() <= max_rows else kept
+    kept.count()
+    held = kept._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return F.broadcast(kept) if held <= max_bytes else kept
 
 
 def drop_null_keys(df: DataFrame, keys: Iterable[str]) -> DataFrame:

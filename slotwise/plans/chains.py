@@ -88,7 +88,7 @@ def volume_tables(log: DataFrame, years: Sequence[int]) -> dict[str, DataFrame]:
     year = F.year("dt_operacion")
     return {
         "top_aeropuertos": filters.top_values(log, "aeropuerto_oaci", 15),
-        "anio_por_tipo": Pr.count_pivot(log, year.alias("anio"), "internacional_domestico", ["D", "I"]),
+        "anio_por_tipo": Pr.count_pivot(log, year.alias("anio"), "internacional_domestico"),
         "histograma_pmd": quality.histogram(log, C.clip("pmd", high=500.0), 80, by="pmd_fue_imputado"),
         "vuelos_por_anio": Pr.yearly_volume(log),
         "top12_por_anio": Pr.top_by_year(log, "aeropuerto_oaci", "dt_operacion", years, 12),

@@ -92,10 +92,13 @@ def cross_wind_alert(spark, d):
     return tidy(alert.select("event_id", "fecha_cruce", "viento_cruzado", "retraso"))
 
 
-@query("F9_exact_sample")
+@query("F9_exact_sample", """
+SELECT l_orderkey, l_linenumber::BIGINT AS l_linenumber, l_partkey, l_suppkey, l_quantity FROM lineitem
+ORDER BY ('0x' || substr(md5(l_orderkey || '|' || l_linenumber || '|42'), 1, 15))::BIGINT, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity
+LIMIT 5000""")
 def exact_sample(spark, d):
     li = tables.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
-    return filters.sample_exactly(li, "l_orderkey", 5000, seed=42)
+    return tidy(filters.sample_exactly(li, ["l_orderkey", "l_linenumber"], 5000, seed=42))
 
 
 # --- projections

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from slotwise.operators import clusters as K
+from slotwise.operators import metrics as X
 from slotwise.operators import models as M
 from slotwise.operators import profiles as Pr
 from slotwise.operators.filters import stratified_parts
@@ -28,12 +29,19 @@ def _clustered(spark, d):
     return _profile(spark, d).withColumn("cluster", F.substring("aeropuerto_oaci", 2, 9).cast("long") % 4)
 
 
+_MEASURES = ["total_vuelos", "pct_intl", "pmd_mediana", "n_modelos", "cnt_ops_media"]
+
+
+def _z(c: str) -> str:
+    x = "ln(1 + total_vuelos)" if c == "total_vuelos" else c
+    return f"round(({x} - avg({x}) OVER ()) / stddev_pop({x}) OVER (), 6) AS z_{c}"
+
+
 @query("M1_standardise", f"""WITH {NATION_PROFILE}
-SELECT aeropuerto_oaci, round((ln(1 + total_vuelos) - avg(ln(1 + total_vuelos)) OVER ()) / stddev_pop(ln(1 + total_vuelos)) OVER (), 6) AS z_total_vuelos,
-       round((pct_intl - avg(pct_intl) OVER ()) / stddev_pop(pct_intl) OVER (), 6) AS z_pct_intl FROM profile""")
+SELECT aeropuerto_oaci, {", ".join(map(_z, _MEASURES))} FROM profile""")
 def standardise(spark, d):
-    z = K.standardise(_profile(spark, d), ["total_vuelos", "pct_intl"], ["total_vuelos"])
-    return tidy(z.select("aeropuerto_oaci", "z_total_vuelos", "z_pct_intl"))
+    z = K.standardise(_profile(spark, d), _MEASURES, ["total_vuelos"])
+    return tidy(z.select("aeropuerto_oaci", *[f"z_{c}" for c in _MEASURES]))
 
 
 @query("M2_M3_airport_clusters")
@@ -168,11 +176,12 @@ def feature_matrix(spark, d):
 
 
 @query("M11_stratified_split", """
-WITH c AS (SELECT CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END::BIGINT AS y, count(*) AS n FROM lineitem GROUP BY 1)
-SELECT y, 0::BIGINT AS part, round(n * 0.8)::BIGINT AS n FROM c UNION ALL SELECT y, 1, n - round(n * 0.8)::BIGINT FROM c""")
+WITH h AS (SELECT o_orderkey, o_orderpriority AS y, ('0x' || substr(md5(o_orderkey || '|42'), 1, 15))::BIGINT AS h FROM orders)
+SELECT o_orderkey, y, CASE WHEN row_number() OVER (PARTITION BY y ORDER BY h) <= round(count(*) OVER (PARTITION BY y) * 0.8) THEN 0 ELSE 1 END::BIGINT AS part
+FROM h""")
 def stratified_split(spark, d):
-    parts = stratified_parts(line_items(spark, d), LINE_KEY, "y", [0.8, 0.2])
-    return tidy(parts.groupBy("y", "part").agg(F.count("*").alias("n")))
+    o = tables.table(spark, d, "orders").select("o_orderkey", F.col("o_orderpriority").alias("y"))
+    return tidy(stratified_parts(o, "o_orderkey", "y", [0.8, 0.2]))
 
 
 def _forest(spark, d):
@@ -211,6 +220,11 @@ def feature_set_metrics(spark, d):
     return _search(spark, d).metrics
 
 
+@query("M18_test_area_pivot")
+def test_area_pivot(spark, d):
+    return X.test_area_pivot(_search(spark, d).metrics, list(M.GRID))
+
+
 @query("M19_permutation_importance")
 def permutation(spark, d):
     return _search(spark, d, repeats=2).importance

@@ -128,7 +128,14 @@ def parquet_sink(spark, d):
 
 @query("S9_file_inventory")
 def file_inventory(spark, d):
-    return files.file_index(spark, d)
+    """The files of every table, with the rows read from each."""
+    index = files.file_index(spark, d)
+    names = sorted(r["ruta_relativa"] for r in index.filter("formato = 'parquet'").collect())
+    rows = enrich.stack([
+        spark.read.parquet(f"{d}/{n}").agg(F.count("*").alias("filas")).select(F.lit(n).alias("ruta_relativa"), "filas")
+        for n in names
+    ])
+    return index.join(rows, on="ruta_relativa", how="left")
 
 
 @query("S9_csv_sample_profile")

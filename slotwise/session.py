@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -13,6 +12,8 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Checkpoints go when nothing refers to them any more.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -29,8 +30,8 @@ def get_session(app: str = "slotwise", master: str | None = None, **conf: str) -
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a temporary folder of its own; a cluster session
-    without it is refused, since a machine-local folder would be lost with its machine.
+    Without that setting a local session takes a folder in its warehouse; a cluster session is refused,
+    since a machine-local folder would be lost with its machine.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
@@ -42,7 +43,7 @@ def shared_dir(spark: SparkSession) -> str:
         return current
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by the whole cluster")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="slotwise-"))
+    spark.sparkContext.setCheckpointDir(f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_slotwise")
     return spark.sparkContext.getCheckpointDir()
 
 

@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 from slotwise.operators.enrich import stack
 from slotwise.operators.quality import fact, profile_facts
 
-# Format names by suffix, the name for a file without suffix, and the ignored marker.
-FORMATS = {"csv": "csv", "parquet": "parquet", "json": "json"}
+# The name for a file without suffix, and the ignored marker.
 NO_SUFFIX = "desconocido"
 IGNORED = ".gitkeep"
 
@@ -17,23 +16,25 @@ IGNORED = ".gitkeep"
 def file_index(spark: SparkSession, folder: str) -> DataFrame:
     """Relative path, format and size in MB of every file under the folder, by path.
 
-    Only path and length are selected, so no file is opened.
+    Files come from a listing, names with a leading dot or underscore included; none is opened.
     """
-    listed = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
-        .select("path", "length")
-    )
-    root = folder.rstrip("/").split("://")[-1].removeprefix("file:")
-    relative = F.substring_index("path", root + "/", -1)
-    name = F.substring_index("path", "/", -1)
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    listing = path.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(path, True)
+    root = f"{path.toUri().getPath().rstrip('/')}/"
+    rows = []
+    while listing.hasNext():
+        found = listing.next()
+        full = found.getPath().toUri().getPath()
+        rows.append((full.split(root, 1)[-1], full.rsplit("/", 1)[-1], found.getLen()))
+    listed = spark.createDataFrame(rows, "ruta_relativa string, nombre string, bytes long")
     # A suffix needs a name before its dot.
-    suffix = F.lower(F.regexp_extract(name, r"^.+\.([^.]+)$", 1))
+    suffix = F.lower(F.regexp_extract("nombre", r"^.+\.([^.]+)$", 1))
     return (
-        listed.filter(name != IGNORED)
+        listed.filter(F.col("nombre") != IGNORED)
         .select(
-            relative.alias("ruta_relativa"),
+            "ruta_relativa",
             F.when(suffix == "", NO_SUFFIX).otherwise(suffix).alias("formato"),
-            F.round(F.col("length") / (1024 * 1024), 4).alias("tamano_mb"),
+            F.round(F.col("bytes") / (1024 * 1024), 4).alias("tamano_mb"),
         )
         .orderBy("ruta_relativa")
     )

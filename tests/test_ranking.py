@@ -29,13 +29,8 @@ def skewed(spark):
     return rows, spark.createDataFrame(rows, "k string, v double")
 
 
-# The direct way; every group its own bracket; narrow brackets in large groups; the last in cells.
-WAYS = [
-    {},
-    {"direct_rows": 0, "rows_per_cell": 40},
-    {"direct_rows": 0, "accuracy": 100},
-    {"direct_rows": 0, "accuracy": 100, "rows_per_cell": 40},
-]
+# Every group its own bracket; narrow brackets in large groups; both again in cells.
+WAYS = [{}, {"accuracy": 100}, {"accuracy": 100, "rows_per_cell": 400}]
 
 
 @pytest.mark.parametrize("way", WAYS)
@@ -68,7 +63,7 @@ def test_brackets_keep_few_rows_of_a_large_group(spark):
     df = spark.range(60_000).select(F.randn(7).alias("v")).persist()
     values = [r.v for r in df.collect()]
     probs = [0.001, 0.25, 0.5, 0.999]
-    row = ranking.exact_quantiles(df, "v", probs, ["a", "b", "c", "d"], accuracy=1000, direct_rows=0).first()
+    row = ranking.exact_quantiles(df, "v", probs, ["a", "b", "c", "d"], accuracy=1000).first()
     for p, got in zip(probs, row):
         assert got == pytest.approx(linear_quantile(values, p), rel=1e-12)
 
@@ -95,6 +90,49 @@ def test_ranks_number_every_row_once(spark):
     assert [r["rank"] for r in got] == list(range(1, 1001))
 
 
+def test_more_cells_than_a_cell_has_rows(spark):
+    df = spark.range(200).select(F.col("id").alias("v"), (F.col("id") % 7).alias("n"))
+    got = ranking.running_totals(df, "v", {"cum": F.col("n")}, rows_per_cell=4).orderBy("v").collect()
+    total = 0
+    for r in got:
+        total += r.n
+        assert r.cum == total
+
+
+def test_several_columns_in_one_go(spark):
+    df = spark.createDataFrame([(float(i), float(i * i) if i % 2 else None) for i in range(11)], "a double, b double")
+    got = {r.variable: r.m for r in ranking.column_quantiles(df, ["a", "b"], [0.5], ["m"]).collect()}
+    assert got == {"a": 5.0, "b": 25.0}
+
+
+def test_quantiles_of_nothing(spark):
+    df = spark.createDataFrame([(None, "x")], "v double, k string")
+    assert [r for r in ranking.exact_quantiles(df, "v", [0.5], ["m"]).collect() if r.m is not None] == []
+    assert ranking.exact_quantiles(df, "v", [0.5], ["m"], keys=["k"]).count() == 0
+
+
+@pytest.mark.parametrize("accuracy", [10_000, 50])
+def test_limits_split_at_exact_ranks(spark, accuracy):
+    df = spark.range(3000).select(ranking.stable_order("id").alias("h"), (F.col("id") % 3 == 0).alias("k"))
+    found = {r.k: r for r in ranking.rank_limits(df, "h", [0.25, 0.9], ["k"], accuracy=accuracy).collect()}
+    for k in (True, False):
+        part = sorted(r.h for r in df.filter(F.col("k") == k).collect())
+        for i, share in enumerate((0.25, 0.9)):
+            assert sum(h <= found[k][f"_limit{i}"] for h in part) == round(share * len(part)) == found[k][f"_upto{i}"]
+
+
+def test_missing_strata_are_kept(spark):
+    df = spark.range(100).withColumn("y", F.when(F.col("id") % 10 > 0, F.col("id") % 2))
+    parts = filters.stratified_parts(df, "id", "y", [0.8, 0.2])
+    assert parts.count() == 100 and parts.filter("y is null and part = 0").count() == 8
+
+
+def test_no_exchange_carries_the_rows(spark):
+    df = spark.range(1000).withColumn("wide", F.repeat(F.lit("x"), 100)).withColumn("y", F.col("id") % 2)
+    plan = filters.stratified_parts(df, "id", "y", [0.8, 0.2])._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
 def test_large_path_never_orders_a_whole_group(spark):
     df = spark.range(1000).withColumn("h", ranking.stable_order("id"))
     plan = ranking.with_rank(df, "h", rows_per_cell=30)._jdf.queryExecution().optimizedPlan().toString()

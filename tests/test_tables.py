@@ -7,7 +7,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
-from slotwise.operators import enrich, filters, prepare, quality, timetable, weather
+from slotwise.operators import enrich, filters, metrics, prepare, profiles, quality, ranking, timetable, weather
 from slotwise.session import scratch_path
 from slotwise.sources import files, readers, sinks
 
@@ -81,8 +81,8 @@ def test_imputation_falls_back_to_the_global_median(spark):
 
 def test_codes_are_alphabetical(spark, monkeypatch):
     df = spark.createDataFrame([("b",), ("a",), (None,), ("c",), ("a",)], "c string")
-    for limit in (10, 1):  # one task, then numbered partitions
-        monkeypatch.setattr(prepare, "CATEGORIES_IN_ONE_TASK", limit)
+    for limit in (10, 2):  # one cell, then two
+        monkeypatch.setattr(ranking, "ROWS_PER_CELL", limit)
         got = {r.c: r.x for r in prepare.category_code(df, "c", "x").collect()}
         assert got == {"a": 0, "b": 1, "c": 2, None: -1}
         named = {r.c: r.x for r in prepare.label_code(df, "c", "x").collect()}
@@ -199,3 +199,58 @@ def test_cluster_session_without_shared_folder_is_refused(spark):
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session.shared_dir(Fake())
+
+
+def test_tables_without_values(spark):
+    """Empty tables and columns without values or spread give nulls, not errors."""
+    empty = spark.createDataFrame([], "a double, b string")
+    nulls = spark.createDataFrame([(None, "x"), (None, "y")], "a double, b string")
+    same = spark.createDataFrame([(2.0, "x"), (2.0, "y")], "a double, b string")
+    assert quality.null_rates(empty).count() == 0
+    assert {r.columna: r.pct_nulos for r in quality.column_profile(empty).collect()} == {"a": None, "b": None}
+    assert quality.outlier_summary(nulls, "a").first().pct_outliers is None
+    assert quality.outlier_summary(empty, "a").first().q1 is None
+    bins = quality.histogram(same, F.col("a"), 4).collect()
+    assert [(r.n, r.densidad) for r in bins] == [(2, None)]
+    assert quality.duplicate_summary(empty, ["b"]).filter("pct_total is not null").count() == 0
+    assert quality.describe(nulls, ["a"]).first().p50 is None
+
+
+def test_scores_of_one_class_or_none(spark):
+    one = spark.createDataFrame([(1, 0.3), (1, 0.6)], "y int, p double")
+    assert metrics.roc_auc(one, "y", "p").first()[0] is None
+    assert metrics.roc_curve(one, "y", "p").filter("fpr is null").count() == 2
+    assert metrics.metric_row(one, "y", "p", "m", "f").first().roc_auc is None
+    none = spark.createDataFrame([], "y int, p double")
+    for table in (metrics.roc_auc, metrics.average_precision, metrics.lift, metrics.precision_recall_curve):
+        table(none, "y", "p").collect()
+
+
+def test_rows_without_a_score_count_nowhere(spark):
+    df = spark.createDataFrame([(0, float("nan")), (1, None), (1, 0.9)], "y int, p double")
+    assert metrics.threshold_metrics(df, "y", "p").first().accuracy == 1.0
+    assert metrics.confusion_matrix(df, "y", "p").agg(F.sum("n")).first()[0] == 1
+    assert metrics.brier(df, "y", "p").first()[0] == pytest.approx(0.01)
+
+
+def test_pivots_find_their_columns(spark):
+    df = spark.createDataFrame([(2001, "a"), (2001, "z"), (2002, None)], "y int, c string")
+    out = {r.y: r.asDict() for r in profiles.count_pivot(df, F.col("y"), "c").collect()}
+    assert out == {2001: {"y": 2001, "a": 1, "z": 1}, 2002: {"y": 2002, "a": 0, "z": 0}}
+
+
+def test_readings_of_one_instant_stay_whole(spark):
+    at = datetime(2024, 1, 1, 10)
+    readings = spark.createDataFrame([("s", at, 1.0, 9.0), ("s", at, 2.0, 3.0)], "s string, t timestamp, a double, b double")
+    left = spark.createDataFrame([("s", datetime(2026, 5, 1))], "s string, at timestamp")
+    row = enrich.as_of_join(left, readings, "s", "at", "t", ["a", "b"]).first()
+    assert (row.a, row.b) == (2.0, 3.0)
+
+
+def test_every_file_is_listed(spark, tmp_path):
+    from slotwise.sources import files
+
+    for name in ("a.csv", "_b.csv", ".c.csv", "d.JSON", "noext", ".gitkeep"):
+        (tmp_path / name).write_text("x")
+    got = {r.ruta_relativa: r.formato for r in files.file_index(spark, str(tmp_path)).collect()}
+    assert got == {"a.csv": "csv", "_b.csv": "csv", ".c.csv": "csv", "d.JSON": "json", "noext": "desconocido"}
