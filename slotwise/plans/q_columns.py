@@ -216,12 +216,11 @@ def log_transforms(spark, d):
 
 
 @query("P18_clip", f"""WITH {TARGET}
-SELECT event_id, least(pmd, 10.0::DOUBLE) AS pmd_recortado,
+SELECT event_id, CASE WHEN pmd IS NOT NULL THEN least(pmd, 10.0::DOUBLE) END AS pmd_recortado,
        greatest(least(desvio_min, 180.0::DOUBLE), -90.0::DOUBLE) AS desvio_recortado
-FROM (SELECT event_id, CASE WHEN pmd IS NOT NULL THEN pmd END AS pmd, desvio_min FROM target)
-WHERE pmd IS NOT NULL""")
+FROM target""")
 def clip(spark, d):
-    return tables.target(spark, d).filter(F.col("pmd").isNotNull()).select(
+    return tables.target(spark, d).select(
         "event_id", C.clip("pmd", high=10.0).alias("pmd_recortado"),
         C.clip("desvio_min", -90.0, 180.0).alias("desvio_recortado"))
 

@@ -199,6 +199,32 @@ def gini(spark, d):
     return _forest(spark, d).importance
 
 
+@query("M10_M13_forest_checks", """
+WITH c AS (SELECT l_returnflag = 'R' AS y, count(*) AS n FROM lineitem GROUP BY 1), t AS (SELECT sum(round(n * 0.8))::BIGINT AS train, sum(n)::BIGINT AS n FROM c)
+SELECT train AS n_train, n - train AS n_test, n - train AS n_matriz, 5::BIGINT AS n_features, 1.0::DOUBLE AS importancia_total,
+       0::BIGINT AS fuera_de_rango FROM t""")
+def forest_checks(spark, d):
+    """What must hold of any forest: split sizes, a matrix over all test rows, importances that sum to one."""
+    found = _forest(spark, d)
+    totals = found.importance.agg(F.count("*").alias("n_features"), F.sum("importancia").alias("importancia_total"))
+    matrix = found.confusion.agg(F.sum("n").alias("n_matriz"))
+    outside = found.scored.agg(F.count_if(~F.col("proba").between(0, 1)).alias("fuera_de_rango"))
+    sizes = found.report.select(F.col("n_train").cast("long"), F.col("n_test").cast("long"))
+    one = sizes
+    for part in (matrix, totals, outside):  # one row each
+        row = part.first()
+        one = one.withColumns({c: F.lit(row[c]) for c in part.columns})
+    return tidy(one)
+
+
+@query("M17_grid_rows", """
+SELECT features, algoritmo, n FROM (VALUES ('solo operacion', 'GradientBoosting', 1), ('solo clima', 'GradientBoosting', 1), ('clima + operacion', 'GradientBoosting', 1),
+  ('solo operacion', 'RegresionLogistica', 2), ('solo clima', 'RegresionLogistica', 2), ('clima + operacion', 'RegresionLogistica', 2)) v(features, algoritmo, m),
+  LATERAL (SELECT m::BIGINT AS n)""")
+def grid_rows(spark, d):
+    return _search(spark, d).search.groupBy("features", "algoritmo").agg(F.count("*").alias("n"))
+
+
 @query("M12_cross_validation")
 def cross_validation(spark, d):
     return M.cross_validate_forest(

@@ -152,7 +152,9 @@ def inventory(spark, d):
     return inventory_summary(files.file_index(spark, d), rates)
 
 
-@query("S10_model_persistence")
+@query("S10_model_persistence", """
+SELECT count(*) AS filas, 0::BIGINT AS distintas, count(*) FILTER (p_size IS NULL OR p_retailprice IS NULL) AS sin_grupo FROM part
+""")
 def model_persistence(spark, d):
     points = tables.table(spark, d, "part").select("p_partkey", "p_size", "p_retailprice")
     stages = [VectorAssembler(inputCols=["p_size", "p_retailprice"], outputCol="features"),
@@ -160,7 +162,12 @@ def model_persistence(spark, d):
     fitted = Pipeline(stages=stages).fit(points)
     path = scratch_path(spark, "kmeans")
     sinks.save_model(fitted, path)
-    return sinks.load_pipeline(path).transform(points).select("p_partkey", F.col("cluster").cast("long"))
+    # Every row scored by the fitted pipeline and by the one read back.
+    again = sinks.load_pipeline(path).transform(fitted.transform(points).withColumnsRenamed(
+        {"cluster": "antes", "features": "antes_features"}))
+    return again.agg(
+        F.count("*").alias("filas"), F.count_if(~F.col("cluster").eqNullSafe(F.col("antes"))).alias("distintas"),
+        F.count_if(F.col("cluster").isNull()).alias("sin_grupo"))
 
 
 @query("S11_report_facts_sink", """

@@ -114,13 +114,13 @@ def extremes(spark, d):
 
 
 @query("A19_A20_duplicates", """
-WITH t AS (SELECT l_suppkey, l_quantity, l_returnflag, l_discount FROM lineitem),
-     a AS (SELECT count(*) AS n FROM t GROUP BY l_suppkey, l_quantity, l_returnflag, l_discount), b AS (SELECT count(*) AS n FROM t GROUP BY l_suppkey, l_returnflag)
+WITH a AS (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount,
+             l_tax, l_returnflag, l_linestatus, l_shipdate),
+     b AS (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber)
 SELECT 'filas_identicas' AS tipo, sum(n - 1)::BIGINT AS cantidad, round(100 * sum(n - 1) / sum(n), 3) AS pct_total FROM a
 UNION ALL SELECT 'llave_de_negocio', sum(n - 1)::BIGINT, round(100 * sum(n - 1) / sum(n), 3) FROM b""")
 def duplicates(spark, d):
-    t = tables.table(spark, d, "lineitem").select("l_suppkey", "l_quantity", "l_returnflag", "l_discount")
-    return Q.duplicate_summary(t, ["l_suppkey", "l_returnflag"])
+    return Q.duplicate_summary(tables.table(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
 @query("A21_heavy_tail_models", f"""WITH {FLIGHTS}
