@@ -18,13 +18,26 @@ def chosen(df: DataFrame, **names: str | Column) -> DataFrame:
     ))
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write a step that later steps share to the shared folder and read it back; this cuts its lineage."""
+def stored(df: DataFrame, name: str, scratch: list[str] | None = None) -> DataFrame:
+    """Write a step that later steps share to the shared folder and read it back; this cuts its lineage.
+
+    Its path is added to ``scratch``, for ``discard`` when nothing reads it any more.
+    """
     path = scratch_path(df.sparkSession, name)
+    if scratch is not None:
+        scratch.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, scratch: list[str]) -> None:
+    """Delete stored steps that no result depends on."""
+    for name in scratch:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    scratch.clear()
+
+
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Hand texts to Python workers in batches that stay small when texts are long."""
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > rows:

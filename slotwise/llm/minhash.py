@@ -1,14 +1,16 @@
 """Near-duplicate classes of documents by DartMinHash signatures of their weighted word shingles.
 
 A document is a multiset of five-word shingles (ASCII letters lower-cased). Darts are thrown at each unit of a shingle's
-weight: a hash chain gives the dart's times, one after the other, and each dart falls on one of 128 coordinates. All darts
+weight: a hash chain gives the dart's times, one after the other, and each dart falls on one of 252 coordinates. All darts
 up to a time that gives about ``k ln k + 2k`` of them are thrown, whatever the document's size; a coordinate keeps its
 earliest. Two documents agree on a coordinate with the probability of their weighted Jaccard similarity.
 
-Coordinates are joined in 32 bands of 4. In each bucket of a band every text is compared with the bucket's first; links
+Coordinates are joined in 42 bands of 6 (two texts of similarity 0.8 share none with a probability of 3 in a million). In
+each bucket of a band, and of two neighbouring bands together, every text is compared with the bucket's first; links
 are exact weighted similarities of ``least`` or more between the texts themselves. What these links leave apart inside a
 bucket is then compared across classes, block against block, by whole signatures, and what may be similar enough is
-compared exactly again, so a class misses no link that any bucket holds. Equal texts are one node from the start, and a
+compared exactly again: first each text with its nearest of each other class, then, when that has joined what belongs
+together, every pair that is left. So a class misses no link that any bucket holds. Equal texts are one node from the start, and a
 class is a connected component of links.
 
 Null texts count as empty; all empty texts are equal, so they are one class. Texts of fewer than five words have one
@@ -25,14 +27,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slotwise.llm.common import chosen, gathered, small_batches, stored, text_key
+from slotwise.llm.common import chosen, discard, gathered, small_batches, stored, text_key
 from slotwise.llm.components import components
 from slotwise.llm.words import mixed, shingles, similarity, weighted, words_of
 
-COORDINATES, BANDS = 128, 32
+COORDINATES, BANDS = 252, 42
 LEAST = 0.8
-#: Signatures that agree on less than this cannot, short of five standard deviations, come from a similarity of LEAST.
-SLACK = 5 * (LEAST * (1 - LEAST) / COORDINATES) ** 0.5
+#: How far below LEAST, in four standard deviations, the agreement of two signatures may lie by chance.
+SLACK = 4 * (LEAST * (1 - LEAST) / COORDINATES) ** 0.5
 BLOCK = 256
 BATCH_BYTES = 1_000_000
 STEP = np.uint64(0xD1B54A32D192ED03)
@@ -135,37 +137,51 @@ def verified(pairs: DataFrame, texts: DataFrame, least: float = LEAST) -> DataFr
     return rows.select("a", "b", "text_a", "text_b").mapInArrow(run, "a binary, b binary, similarity double")
 
 
-def across_classes(shared: DataFrame, labels: DataFrame, nodes: DataFrame, least: float = LEAST) -> DataFrame:
+def across_classes(
+    shared: DataFrame, labels: DataFrame, nodes: DataFrame, nearest: bool, least: float = LEAST,
+    scratch: list[str] | None = None,
+) -> DataFrame:
     """Pairs of one bucket but different classes whose signatures agree enough for the similarity to be ``least``.
 
     A bucket's texts are dealt to blocks of about BLOCK, and each block meets each other one of its bucket; only
-    texts of different classes are compared, so a bucket that is one class already costs nothing.
+    texts of different classes are compared, so a bucket that is one class already costs nothing. A pair is reported by
+    the first bucket that holds it. With ``nearest`` a text brings only its best partner of each class and meeting.
     """
     placed = shared.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     torn = placed.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low != high")
     members = placed.join(torn.select("key"), "key", "left_semi").join(nodes.select("node", "sketch"), "node")
     block = F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / BLOCK)).cast("int")
-    blocks = stored(members.withColumn("block", block).groupBy("key", "block").agg(
-        F.collect_list(F.struct("node", "label", "sketch")).alias("rows")), "blocks")
-    one, two = blocks.select("key", "block", "rows"), blocks.select("key", F.col("block").alias("other"), F.col("rows").alias("more"))
-    meetings = one.join(two, "key").filter("block <= other").select("rows", "more")
+    blocks = stored(members.withColumn("block", block).groupBy("key", "band", "block").agg(
+        F.collect_list(F.struct("node", "label", "sketch")).alias("rows")), "blocks", scratch)
+    one, two = blocks, blocks.select("key", F.col("block").alias("other"), F.col("rows").alias("more"))
+    meetings = one.join(two, "key").filter("block <= other").select("band", "rows", "more")
     floor = (least - SLACK) * COORDINATES
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def unpacked(rows):
             values = rows.values
             sketch = np.frombuffer(b"".join(values.field("sketch").to_pylist()), "<u2").reshape(len(values), -1)
-            return np.array(values.field("node").to_pylist(), "S16"), np.array(values.field("label").to_pylist(), "S16"), sketch
+            return values.field("node").to_pylist(), values.field("label").to_pylist(), sketch
 
         for batch in batches:
             left, right = [], []
-            for rows, more in zip(batch.column("rows"), batch.column("more")):
+            for band, rows, more in zip(batch.column("band").to_pylist(), batch.column("rows"), batch.column("more")):
                 (n1, l1, s1), (n2, l2, s2) = unpacked(rows), unpacked(more)
+                number = {label: i for i, label in enumerate({*l1, *l2})}
+                k1, k2 = (np.array([number[x] for x in labels]) for labels in (l1, l2))
                 for i in range(len(n1)):
-                    others = np.flatnonzero(l2 != l1[i])
-                    near = others[(s2[others] == s1[i]).sum(axis=1) >= floor] if len(others) else others
-                    left.extend([rows.values.field("node")[i].as_py()] * len(near))
-                    right.extend(more.values.field("node")[int(j)].as_py() for j in near)
+                    others = np.flatnonzero(k2 != k1[i])
+                    if not len(others):
+                        continue
+                    same = s2[others] == s1[i]
+                    agreed = same.sum(axis=1)
+                    first = same.reshape(len(others), BANDS, -1).all(axis=2).argmax(axis=1)
+                    near = np.flatnonzero((agreed >= floor) & (first == band))
+                    if nearest:
+                        near = near[np.argsort(-agreed[near], kind="stable")]
+                        near = near[np.unique(k2[others[near]], return_index=True)[1]]
+                    left.extend([n1[i]] * len(near))
+                    right.extend(n2[j] for j in others[near].tolist())
             yield pa.RecordBatch.from_arrays([pa.array(left, pa.binary()), pa.array(right, pa.binary())], ["x", "y"])
 
     found = meetings.mapInArrow(run, "x binary, y binary")
@@ -174,22 +190,38 @@ def across_classes(shared: DataFrame, labels: DataFrame, nodes: DataFrame, least
 
 def classes(docs: DataFrame, text: str = "text", key: str = "doc_id", least: float = LEAST) -> DataFrame:
     """``key``, ``class_id`` (the smallest ``key`` of the class) and ``class_size`` of every row."""
-    nodes = stored(signed(docs, text), "signatures")
-    members = nodes.select("node", F.explode("bands").alias("key"))
+    scratch: list[str] = []
+    nodes = stored(signed(docs, text), "signatures", scratch)
+    members = nodes.select("node", F.posexplode("bands").alias("band", "key"))
     buckets = members.groupBy("key").agg(F.min("node").alias("hub"), F.count("*").alias("n")).filter("n > 1")
-    shared = stored(members.join(buckets, "key"), "buckets")
+    shared = stored(members.join(buckets, "key"), "buckets", scratch)
+    # Two neighbouring bands together: finer buckets, whose first texts are closer to the others.
+    pair = F.pmod("band", F.lit(2))
+    fine = shared.groupBy("node", F.floor(F.col("band") / 2).alias("place")).agg(
+        F.min(F.when(pair == 0, F.col("key"))).alias("even"), F.min(F.when(pair == 1, F.col("key"))).alias("odd"),
+    ).na.drop()
+    first_of = fine.groupBy("even", "odd").agg(F.min("node").alias("hub"))
+    closer = fine.join(first_of, ["even", "odd"]).select("node", "hub")
+    stars = stored(shared.select("node", "hub").unionAll(closer).filter("node != hub").select(
+        F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), "stars", scratch)
     wanted = shared.select("node").distinct()
     texts = stored(
         chosen(docs, node=text_key(docs[f"`{text}`"]), text=text).join(wanted, "node", "left_semi").dropDuplicates(["node"]),
-        "candidates")
-    stars = shared.filter("node != hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-    first = stored(verified(stars, texts, least), "links")
-    labels = components(first)
-    rest = across_classes(shared, labels, nodes, least)
-    second = stored(verified(rest.join(stars, ["a", "b"], "left_anti"), texts, least), "links")
-    final = components(first.unionAll(second)) if not second.isEmpty() else labels
+        "candidates", scratch)
+    links = stored(verified(stars, texts, least), "links", scratch)
+    tried, labels = stars, components(links, scratch=scratch)
+    for nearest in (True, False):
+        rest = across_classes(shared, labels, nodes, nearest, least, scratch).join(tried, ["a", "b"], "left_anti")
+        rest = stored(rest, "pairs", scratch)
+        more = stored(verified(rest, texts, least), "links", scratch)
+        tried = tried.unionAll(rest)
+        if not more.isEmpty():
+            links = links.unionAll(more)
+            labels = components(links, scratch=scratch)
+    final = labels
     owned = chosen(docs, key=key, node=text_key(docs[f"`{text}`"]))
     named = owned.join(final, "node", "left").select("key", F.coalesce("label", "node").alias("label"))
     named = stored(named, "membership")
+    discard(docs.sparkSession, scratch)
     heads = named.groupBy("label").agg(F.min("key").alias("class_id"), F.count("*").alias("class_size"))
     return named.join(heads, "label").select(F.col("key").alias(key), "class_id", "class_size")
