@@ -168,20 +168,23 @@ def across_classes(
             for band, rows, more in zip(batch.column("band").to_pylist(), batch.column("rows"), batch.column("more")):
                 (n1, l1, s1), (n2, l2, s2) = unpacked(rows), unpacked(more)
                 number = {label: i for i, label in enumerate({*l1, *l2})}
+                if len(number) == 1:
+                    continue
                 k1, k2 = (np.array([number[x] for x in labels]) for labels in (l1, l2))
-                for i in range(len(n1)):
-                    others = np.flatnonzero(k2 != k1[i])
-                    if not len(others):
-                        continue
-                    same = s2[others] == s1[i]
-                    agreed = same.sum(axis=1)
-                    first = same.reshape(len(others), BANDS, -1).all(axis=2).argmax(axis=1)
-                    near = np.flatnonzero((agreed >= floor) & (first == band))
+                for low in range(0, len(n1), 64):
+                    part = s1[low:low + 64]
+                    agreed = np.count_nonzero(part[:, None] == s2[None], axis=2)
+                    i, j = np.nonzero((agreed >= floor) & (k1[low:low + 64, None] != k2[None]))
+                    same = (part[i] == s2[j]).reshape(len(i), BANDS, COORDINATES // BANDS).all(axis=2)
+                    here = same.argmax(axis=1) == band
+                    i, j = i[here], j[here]
                     if nearest:
-                        near = near[np.argsort(-agreed[near], kind="stable")]
-                        near = near[np.unique(k2[others[near]], return_index=True)[1]]
-                    left.extend([n1[i]] * len(near))
-                    right.extend(n2[j] for j in others[near].tolist())
+                        best = np.lexsort((-agreed[i, j], k2[j], i))
+                        i, j = i[best], j[best]
+                        new = np.flatnonzero(np.r_[True, (np.diff(i) != 0) | (np.diff(k2[j]) != 0)][:len(i)])
+                        i, j = i[new], j[new]
+                    left.extend(n1[low + x] for x in i.tolist())
+                    right.extend(n2[x] for x in j.tolist())
             yield pa.RecordBatch.from_arrays([pa.array(left, pa.binary()), pa.array(right, pa.binary())], ["x", "y"])
 
     found = meetings.mapInArrow(run, "x binary, y binary")
