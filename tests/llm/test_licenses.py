@@ -71,3 +71,66 @@ def test_odd_rows(spark):
     got = licenses.scan(docs).collect()
     assert sorted((r.n_words, r.n_base, r.labels) for r in got) == [(0, 0, ""), (0, 0, ""), (2, 1, "mit"), (2, 1, "mit")]
     assert licenses.scan(docs.limit(0)).count() == 0
+
+
+NAMES = {
+    "0bsd": ["Zero-Clause BSD"], "afl-3.0": ["Academic Free"], "agpl-3.0": ["GNU Affero General Public"],
+    "apache-1.1": ["Apache Software License, Version 1.1"], "apache-2.0": ["Apache License, Version 2.0", "Apache 2.0"],
+    "artistic-1.0": ["Artistic License 1.0"], "artistic-2.0": ["Artistic 2.0"],
+    "bsd-2-clause": ["Simplified BSD", "BSD 2-Clause", "2-clause BSD"],
+    "bsd-3-clause": ["New BSD", "revised BSD", "BSD-3-Clause", "3 clause BSD"],
+    "bsd-4-clause": ["original BSD", "BSD 4 clause", "4-clause BSD"], "bsl-1.0": ["Boost Software"],
+    "cc0-1.0": ["CC0 1.0", "Creative Commons Zero"], "cc-by-3.0": ["CC BY 3.0", "Creative Commons Attribution 3.0"],
+    "cc-by-4.0": ["CC-BY-4.0", "Creative Commons Attribution 4.0"],
+    "cc-by-sa-3.0": ["CC BY-SA 3.0", "Creative Commons Attribution-ShareAlike 3.0"],
+    "cc-by-sa-4.0": ["CC BY-SA 4.0", "Creative Commons Attribution-ShareAlike 4.0"],
+    "cc-by-nc-4.0": ["CC BY-NC 4.0", "Creative Commons Attribution-NonCommercial 4.0"],
+    "cc-by-nd-4.0": ["CC BY-ND 4.0", "Creative Commons Attribution-NoDerivatives 4.0"],
+    "cc-by-nc-sa-4.0": ["CC BY-NC-SA 4.0"], "cc-by-nc-nd-4.0": ["CC BY-NC-ND 4.0"],
+    "cddl-1.0": ["Common Development and Distribution"], "cecill-2.1": ["CeCILL 2.1", "CECILL"],
+    "cpl-1.0": ["Common Public License 1.0"], "curl": ["curl license"], "epl-1.0": ["Eclipse Public License, version 1.0"],
+    "epl-2.0": ["Eclipse Public License - v2.0"], "eupl-1.2": ["European Union Public"], "gfdl-1.3": ["GNU Free Documentation"],
+    "gpl-1.0": ["GNU General Public License, version 1"], "gpl-2.0": ["General Public License v2"],
+    "gpl-3.0": ["GNU General Public License, version 3"], "isc": ["ISC License"],
+    "lgpl-2.1": ["GNU Lesser General Public License, version 2.1", "Library General Public License v2"],
+    "lgpl-3.0": ["GNU Lesser General Public License, version 3"], "libpng": ["libpng license"],
+    "lppl-1.3c": ["LaTeX Project Public"], "mit": ["MIT", "Expat License"], "mpl-1.1": ["Mozilla Public License 1.1"],
+    "mpl-2.0": ["Mozilla Public License, version 2.0"], "ms-pl": ["Microsoft Public"], "ms-rl": ["Microsoft Reciprocal"],
+    "mulan-psl-2.0": ["Mulan Permissive Software"], "ncsa": ["NCSA", "University of Illinois Open Source"],
+    "odbl-1.0": ["Open Database", "Open Data Commons Open Database"], "ofl-1.1": ["SIL Open Font"], "openssl": ["OpenSSL License"],
+    "osl-3.0": ["Open Software"], "php-3.01": ["PHP License"], "postgresql": ["PostgreSQL License"],
+    "python-2.0": ["Python Software Foundation License", "Python License"], "qpl-1.0": ["Q Public"], "ruby": ["Ruby License"],
+    "sleepycat": ["Sleepycat"], "unlicense": ["The Unlicense", "Unlicense"], "upl-1.0": ["Universal Permissive"],
+    "vim": ["Vim License"], "wtfpl": ["WTFPL", "Do What The Fuck You Want To Public"], "x11": ["X11 License"],
+    "zlib": ["zlib License"],
+}
+
+
+def ungated(text):
+    """Labels and best weight of all rules, none of them held back by a keyword."""
+    found = sorted(
+        (m.start(), -m.end(), -r["priority"], r["label"], r["weight"])
+        for r in licenses.rules() for m in re.finditer(r["regex"], text, re.ASCII))
+    kept = [d for n, d in enumerate(found) if not any(e[1] <= d[1] and e[2] <= d[2] for e in found[:n])]
+    return {d[3] for d in kept}, max([d[4] for d in kept], default=0.0)
+
+
+def test_keywords_hold_back_no_match(spark):
+    assert set(NAMES) == {label for label, *_ in licenses.LICENSES}
+    assert not any(re.search(r"\s", r["keyword"]) for r in licenses.rules())
+    cases = []
+    for label, names in NAMES.items():
+        for name in names:
+            for form in ("Licensed under the {}.", "terms: {}", "the {} License"):
+                text = form.format(name)
+                cases += [(label, form, t) for t in (text, text.replace(" ", "\n"), text.upper().replace(" ", " \n\t"))]
+    cases += [(label, "id", f"SPDX-License-Identifier: {spdx}") for label, _, spdx, _ in licenses.LICENSES]
+    docs = spark.createDataFrame([(i, t) for i, (*_, t) in enumerate(cases)], "doc_id long, text string")
+    for r in licenses.scan(docs.repartition(8)).collect():
+        label, form, text = cases[r.doc_id]
+        labels, best = ungated(text)
+        base = set(filter(None, r.base_labels.split(",")))
+        assert set(filter(None, r.labels.split(","))) == base | labels, text
+        assert r.score == max(best, 0.5 if base else 0.0), text
+        if form != "the {} License":
+            assert label in labels, text
