@@ -94,6 +94,33 @@ LICENSES = [
     ("x11", r"x11 license", "X11", "x11"),
     ("zlib", r"zlib license", "Zlib", "zlib"),
 ]
+# Names that hold the word "license" as they stand, and other titles that the form of a name before "license" does not take:
+# label, pattern, keyword. A title takes in its version, so that the title of another license inside it is suppressed.
+WHOLE_NAMES = {
+    "curl", "epl-1.0", "epl-2.0", "gpl-1.0", "gpl-2.0", "gpl-3.0", "isc", "lgpl-2.1", "lgpl-3.0", "libpng", "mpl-1.1", "mpl-2.0",
+    "openssl", "php-3.01", "postgresql", "python-2.0", "ruby", "unlicense", "vim", "x11", "zlib",
+}
+TITLES = [
+    *((label, name, keyword) for label, name, _, keyword in LICENSES if label in WHOLE_NAMES),
+    ("0bsd", r"bsd zero[- ]clause license", "bsd"),
+    ("agpl-3.0", r"(?:gnu )?affero general public license(?:,? (?:version |v)[0-9](?:\.[0-9])?)?", "affero"),
+    ("apache-1.1", r"apache(?: software)? license,? (?:version |v)?1\.1", "apache"),
+    ("apache-2.0", r"apache(?: software)? license,? (?:version |v)?2(?:\.0)?", "apache"),
+    ("artistic-1.0", r"artistic license,? (?:version |v)?1\.0", "artistic"),
+    ("artistic-2.0", r"artistic license,? (?:version |v)?2\.0", "artistic"),
+    ("cc0-1.0", r"cc0 1\.0 universal", "cc0"),
+    ("cc0-1.0", r"creative commons zero (?:version |v)?1\.0", "commons"),
+    ("cc-by-3.0", r"creative commons attribution[- ]3\.0", "commons"),
+    ("cc-by-4.0", r"creative commons attribution[- ]4\.0", "commons"),
+    ("cc-by-sa-3.0", r"creative commons attribution[- ]sharealike[- ]3\.0", "commons"),
+    ("cc-by-sa-4.0", r"creative commons attribution[- ]sharealike[- ]4\.0", "commons"),
+    ("cc-by-nc-4.0", r"creative commons attribution[- ]noncommercial[- ]4\.0", "commons"),
+    ("cc-by-nd-4.0", r"creative commons attribution[- ]noderivatives[- ]4\.0", "commons"),
+    ("cc-by-nc-sa-4.0", r"creative commons attribution[- ]noncommercial[- ]sharealike[- ]4\.0", "commons"),
+    ("cc-by-nc-nd-4.0", r"creative commons attribution[- ]noncommercial[- ]noderivatives[- ]4\.0", "commons"),
+    ("cecill-2.1", r"cecill free software license", "cecill"),
+    ("cpl-1.0", r"common public license(?:,? (?:version |v)?1\.0)?", "common"),
+]
 # Priority, weight, and the text around a name or an SPDX id, of each form in which texts state a license.
 FORMS = [
     (3, 1.0, r"\bspdx-license-identifier:\s*{id}\b", "spdx"),
@@ -102,29 +129,36 @@ FORMS = [
     (1, 0.8, r"\b{name}(?:\s+public)?\s+licen[sc]e\b", None),
     (0, 0.6, r"\blicen[sc]e\s*[:=]?\s*\(?{id}\b", "licen"),
 ]
+TITLE_FORM = (1, 0.8, r"\b{name}\b")
 # No rule matches a text in which this finds nothing: each form needs one of these strings.
-NAMES_A_LICENSE = r"(?i)licen[sc]e|spdx-|\sunder\s|terms\s*[:=]|\bunder\s"
+NAMES_A_LICENSE = r"(?i)licen[sc]e|creative\s+commons|cc0\s|spdx-|\sunder\s|terms\s*[:=]|\bunder\s"
 LEVELS = 4
 
 
 def spaced(name: str) -> str:
-    """A pattern of a name as regular expression that takes any white space between words, line ends too."""
+    """A pattern of a name as regular expression: any white space between words, both spellings, and versions as "v. 2"."""
+    name = name.replace("license", "licen[sc]e").replace("(?:version |v)", r"(?:version\s+|v\.?\s*)")
     return name.replace("[- ]", r"(?:-|\s+)").replace("[, -]", r"[,\s-]").replace(" ", r"\s+")
 
 
 def rules() -> list[dict]:
-    """Every form of every license, in order of the list; forms of an SPDX id once a license."""
+    """Every form of every license, in order of the list, then titles; forms of an SPDX id once a license."""
     out, seen = [], set()
+
+    def add(label: str, keyword: str, priority: int, weight: float, regex: str) -> None:
+        out.append({"label": label, "keyword": keyword, "priority": priority, "weight": weight, "regex": "(?i)" + regex})
+
     for label, name, spdx, keyword in LICENSES:
         for priority, weight, form, needs in FORMS:
             if needs and label in seen:
                 continue
             quoted = spdx.replace(".", r"\.").replace("+", r"\+")
-            out.append({
-                "label": label, "keyword": needs or keyword, "priority": priority, "weight": weight,
-                "regex": "(?i)" + form.replace("{name}", f"(?:{spaced(name)})").replace("{id}", quoted),
-            })
+            regex = form.replace("{name}", f"(?:{spaced(name)})").replace("{id}", quoted)
+            add(label, needs or keyword, priority, weight, regex)
         seen.add(label)
+    priority, weight, form = TITLE_FORM
+    for label, title, keyword in TITLES:
+        add(label, keyword, priority, weight, form.replace("{name}", f"(?:{spaced(title)})"))
     return out
 
 

@@ -134,3 +134,44 @@ def test_keywords_hold_back_no_match(spark):
         assert r.score == max(best, 0.5 if base else 0.0), text
         if form != "the {} License":
             assert label in labels, text
+
+
+PLAIN_TITLES = {
+    "0bsd": "BSD Zero Clause License", "afl-3.0": "Academic Free License", "agpl-3.0": "GNU AFFERO GENERAL PUBLIC LICENSE\n Version 3",
+    "apache-1.1": "Apache Software License, Version 1.1", "apache-2.0": "Apache License\n  Version 2.0, January 2004",
+    "artistic-1.0": "The Artistic License 1.0", "artistic-2.0": "Artistic License 2.0",
+    "bsd-2-clause": "BSD 2-Clause License", "bsd-3-clause": "BSD 3-Clause License", "bsd-4-clause": "BSD 4-Clause License",
+    "bsl-1.0": "Boost Software License", "cc0-1.0": "CC0 1.0 Universal", "cc-by-3.0": "Creative Commons Attribution 3.0 Unported",
+    "cc-by-4.0": "Creative Commons Attribution 4.0 International", "cc-by-sa-3.0": "Creative Commons Attribution-ShareAlike 3.0 Unported",
+    "cc-by-sa-4.0": "Creative Commons Attribution-ShareAlike 4.0 International",
+    "cc-by-nc-4.0": "Creative Commons Attribution-NonCommercial 4.0 International",
+    "cc-by-nd-4.0": "Creative Commons Attribution-NoDerivatives 4.0 International",
+    "cc-by-nc-sa-4.0": "Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International",
+    "cc-by-nc-nd-4.0": "Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International",
+    "cddl-1.0": "Common Development and Distribution License", "cecill-2.1": "CeCILL FREE SOFTWARE LICENSE AGREEMENT",
+    "cpl-1.0": "Common Public License Version 1.0", "curl": "curl License", "epl-1.0": "Eclipse Public License - v 1.0",
+    "epl-2.0": "Eclipse Public License - v 2.0", "eupl-1.2": "European Union Public Licence", "gfdl-1.3": "GNU Free Documentation License",
+    "gpl-1.0": "GNU GENERAL PUBLIC LICENSE Version 1, February 1989", "gpl-2.0": "GNU GENERAL PUBLIC LICENSE Version 2, June 1991",
+    "gpl-3.0": "GNU GENERAL PUBLIC LICENSE\n   Version 3, 29 June 2007", "isc": "The ISC License",
+    "lgpl-2.1": "GNU LESSER GENERAL PUBLIC LICENSE\n   Version 2.1, February 1999",
+    "lgpl-3.0": "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007", "libpng": "libpng License",
+    "lppl-1.3c": "The LaTeX Project Public License", "mit": "The MIT License", "mpl-1.1": "MOZILLA PUBLIC LICENSE Version 1.1",
+    "mpl-2.0": "the Mozilla Public License, v. 2.0", "ms-pl": "Microsoft Public License", "ms-rl": "Microsoft Reciprocal License",
+    "mulan-psl-2.0": "Mulan Permissive Software License, Version 2", "ncsa": "University of Illinois/NCSA Open Source License",
+    "odbl-1.0": "Open Database License", "ofl-1.1": "SIL Open Font License Version 1.1", "openssl": "OpenSSL License",
+    "osl-3.0": "Open Software License", "php-3.01": "The PHP License, version 3.01", "postgresql": "The PostgreSQL Licence",
+    "python-2.0": "Python Software Foundation License", "qpl-1.0": "THE Q PUBLIC LICENSE", "ruby": "Ruby License",
+    "sleepycat": "The Sleepycat License", "unlicense": "The Unlicense", "upl-1.0": "The Universal Permissive License",
+    "vim": "VIM LICENSE", "wtfpl": "DO WHAT THE FUCK YOU WANT TO PUBLIC LICENSE", "x11": "X11 License", "zlib": "zlib License",
+}
+
+
+def test_every_plain_title_gets_its_label(spark):
+    assert set(PLAIN_TITLES) == {label for label, *_ in licenses.LICENSES}
+    cases = [(label, t) for label, title in PLAIN_TITLES.items() for t in (title, title.replace(" ", "\n ") + "\n\nx")]
+    docs = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(cases)], "doc_id long, text string")
+    for r in licenses.scan(docs.repartition(8)).collect():
+        label, text = cases[r.doc_id]
+        by_method = set(r.labels.split(",")) - (set(r.base_labels.split(",")) - {label})
+        assert by_method == {label} and r.score == 0.8, (text, r.labels)
+        assert ungated(text)[0] == {label}
