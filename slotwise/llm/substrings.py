@@ -1,16 +1,17 @@
-"""Removal of passages that also stand in an earlier document, by prefix-partitioned sparse suffix trees.
+"""Removal of passages that also stand in an earlier document, by windows dealt by their smallest prefix.
 
 A window is ``length`` (13) consecutive words of one document; words are what space and U+0009 to U+000D separate. Every
 word covered by a window whose words also start in a document with a smaller id is removed; windows are judged on the
 input.
 
-Suffixes are sampled: a window belongs to the suffix that starts at its smallest run of five words by hash, so equal
-windows always choose the same place, and neighbouring windows mostly share one. The five words are the prefix by which
-suffixes are dealt to subtrees; a subtree that would outgrow its share of memory is split by more bits of the prefix,
-which is why the number of buckets follows the size of the input. Below its prefix a window is one path (how far it
-reaches to the left, and a fingerprint of its words); a node of two documents or more is a repeat, all its documents but
-the smallest lose the words, and neighbouring windows join to maximal repeats. Each block of texts first settles its own
-repeats and sends a window once, for its smallest document, so that a passage in a third of all documents is a few rows.
+No suffix tree is built: windows are grouped by hashes. A window belongs to the place of its smallest run of five words by
+hash, so equal windows always choose the same place, and neighbouring windows mostly share one, in one entry. The five words
+are the prefix by which entries are dealt to buckets, whose number follows the size of the input. Windows are counted first,
+by hash of the prefix. Where one prefix (or several of one hash) outgrows a bucket's share, its windows are dealt further, by
+prefix, place and fingerprint, to as many parts as it has shares; equal windows stay together. In a bucket, windows of one
+prefix, place and fingerprint in two documents or more are a repeat, all its documents but the smallest lose the words, and
+neighbouring windows join to maximal repeats. Each block of texts first settles its own repeats and sends a window once, for
+its smallest document, so that a passage in a third of all documents is a few rows.
 
 Null texts have no words. Rows without an id keep all their words and remove nothing elsewhere. Rows of one id and equal
 texts get equal results; of one id and different texts, each is judged alone, and neither is smaller than the other.
@@ -33,8 +34,10 @@ from slotwise.llm.words import STEP_WORDS, Words, long_hash, mixed, runs, words_
 
 LENGTH, PREFIX = 13, 5
 BLOCK_BYTES = 12_000_000
-#: Bytes of text whose windows make one subtree bucket, and whose documents make one bucket of results.
+#: Bytes of text whose windows make one bucket on average, and whose documents make one bucket of results.
 BUCKET_BYTES, RESULT_BYTES = 8_000_000, 8_000_000
+#: Prefixes are counted by hash in so many slots a bucket.
+SLOTS = 4
 NEVER = np.uint64(2**64 - 1)
 
 
@@ -80,16 +83,15 @@ def joined_runs(doc: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndar
     return first, np.diff(np.r_[first, len(start)])
 
 
-def block_entries(
-    texts: pa.Array, ids: np.ndarray, tags: np.ndarray, length: int, buckets: int, results: int,
-) -> Iterator[tuple[int, int, bytes]]:
-    """Bucket, kind (0: subtree entries, 1: repeats settled here) and value of what a block of texts sends on."""
+def block_windows(texts: pa.Array, ids: np.ndarray, tags: np.ndarray, length: int) -> tuple[np.ndarray, ...] | None:
+    """Windows of a block by smallest id: row, start in the row, start in the block, fingerprint and smallest document, and
+    the words, ids and tags in that order; none if there are no windows."""
     order = np.argsort(ids, kind="stable")
     ids, tags = ids[order], tags[order]
     words = words_of(texts.take(pa.array(order)))
     prints, starts = runs(words, length)
     if not len(prints):
-        return
+        return None
     row = np.searchsorted(words.firsts, starts, side="right") - 1
     local = (starts - words.firsts[row]).astype("<u4")
     doc = ids[row]
@@ -98,6 +100,56 @@ def block_entries(
     new = np.r_[True, np.diff(prints[by_print]) != 0]
     smallest = np.empty(len(doc), np.int64)
     smallest[by_print] = doc[by_print][np.flatnonzero(new)[np.cumsum(new) - 1]]
+    return row, local, starts, prints, smallest, words, ids, tags
+
+
+def slot_of(prefix: np.ndarray, buckets: int) -> np.ndarray:
+    return (mixed(prefix) % np.uint64(SLOTS * buckets)).astype(np.int64)
+
+
+def block_counts(texts: pa.Array, ids: np.ndarray, tags: np.ndarray, length: int, buckets: int) -> np.ndarray:
+    """Number of windows that a block of texts sends on, by slot of their prefix."""
+    found = block_windows(texts, ids, tags, length)
+    if found is None:
+        return np.zeros(SLOTS * buckets, np.int64)
+    row, _, starts, _, smallest, words, ids, _ = found
+    prefix, _ = anchors(words, starts[ids[row] == smallest], length)
+    return np.bincount(slot_of(prefix, buckets), minlength=SLOTS * buckets)
+
+
+Heavy = tuple[np.ndarray, np.ndarray]  # slots in order, number of parts of each
+NONE_HEAVY: Heavy = (np.zeros(0, np.int64), np.zeros(0, np.uint64))
+
+
+def heavy_slots(slots: np.ndarray, counts: np.ndarray, share: float) -> Heavy:
+    """The slots that hold more windows than a bucket's share, and in how many parts they are dealt."""
+    order = np.argsort(slots)
+    slots, counts = np.asarray(slots, np.int64)[order], np.asarray(counts, np.int64)[order]
+    over = counts > share
+    return slots[over], np.ceil(counts[over] / max(share, 1)).astype(np.uint64)
+
+
+def parts_of(prefix: np.ndarray, reach: np.ndarray, prints: np.ndarray, buckets: int, heavy: Heavy) -> np.ndarray:
+    """The part of each window: 0, and in a heavy slot a hash of prefix, place and fingerprint."""
+    part = np.zeros(len(prefix), np.uint64)
+    if len(heavy[0]):
+        slot = slot_of(prefix, buckets)
+        at = np.minimum(np.searchsorted(heavy[0], slot), len(heavy[0]) - 1)
+        hot = np.flatnonzero(heavy[0][at] == slot)
+        path = mixed(prefix[hot] + reach[hot].astype(np.uint64) * STEP_WORDS)
+        part[hot] = mixed(path + prints[hot].astype("<u4").astype(np.uint64)) % heavy[1][at[hot]]
+    return part
+
+
+def block_entries(
+    texts: pa.Array, ids: np.ndarray, tags: np.ndarray, length: int, buckets: int, results: int, heavy: Heavy = NONE_HEAVY,
+) -> Iterator[tuple[int, int, bytes]]:
+    """Bucket, kind (0: entries, 1: repeats settled here) and value of what a block of texts sends on."""
+    windows = block_windows(texts, ids, tags, length)
+    if windows is None:
+        return
+    row, local, starts, prints, smallest, words, ids, tags = windows
+    doc = ids[row]
     settled = np.flatnonzero(doc > smallest)
     if len(settled):
         first, size = joined_runs(row[settled], local[settled])
@@ -105,11 +157,13 @@ def block_entries(
         yield from by_result(ids[row[at]], tags[row[at]], local[at], size.astype("<u4"), results)
     sent = np.flatnonzero(doc == smallest)
     prefix, reach = anchors(words, starts[sent], length)
+    part = parts_of(prefix, reach, prints[sent], buckets, heavy)
     place = starts[sent] + reach
-    first = np.flatnonzero(np.r_[True, (np.diff(place) != 0) | (np.diff(starts[sent]) != 1)])
+    first = np.flatnonzero(np.r_[True, (np.diff(place) != 0) | (np.diff(starts[sent]) != 1) | (part[1:] != part[:-1])])
     size = np.diff(np.r_[first, len(sent)])
     # Entries by bucket and prefix; each brings its windows' fingerprints along.
-    bucket = (mixed(prefix[first]) % np.uint64(buckets)).astype(np.int64)
+    # The parts of a prefix go to neighbouring buckets, no two of them to one.
+    bucket = ((mixed(prefix[first]) % np.uint64(buckets) + part[first]) % np.uint64(buckets)).astype(np.int64)
     ranked = np.lexsort((prefix[first], bucket))
     first, size, bucket = first[ranked], size[ranked], bucket[ranked]
     ends = np.cumsum(size)
@@ -134,7 +188,7 @@ def by_result(doc: np.ndarray, tag: np.ndarray, start: np.ndarray, size: np.ndar
         yield int(bucket[a]), 1, pack(doc[a:b], tag[a:b], start[a:b], size[a:b])
 
 
-def subtree_repeats(values: list[bytes], results: int) -> Iterator[tuple[int, int, bytes]]:
+def bucket_repeats(values: list[bytes], results: int) -> Iterator[tuple[int, int, bytes]]:
     """The repeats that one bucket's entries show."""
     prefix, doc, tag, start, reach, size, prints = (
         np.concatenate(x) for x in zip(*(unpack(v, *ENTRY) for v in values)))
@@ -198,11 +252,24 @@ def remove_repeats(
     tag = F.lit(0) if shared.isEmpty() else F.xxhash64("text").bitwiseAND(2**31 - 1).cast("int")
     tagged = rows.withColumn("tag", tag)
 
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
         for batch in gathered(batches, "text", BLOCK_BYTES):
             ids, tags = batch.column("id").to_numpy(zero_copy_only=False), batch.column("tag").to_numpy()
+            yield batch.column("text"), ids, tags.astype("<u4")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(SLOTS * buckets, np.int64)
+        for block in blocks(batches):
+            total += block_counts(*block, length, buckets)
+        slots = np.flatnonzero(total)
+        for a in range(0, len(slots), 100_000):
+            at = slots[a:a + 100_000]
+            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["slot", "n"])
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in blocks(batches):
             held = []
-            for item in block_entries(batch.column("text"), ids, tags.astype("<u4"), length, buckets, results):
+            for item in block_entries(*block, length, buckets, results, heavy):
                 held.append(item)
                 if len(held) == 64:
                     yield sent(held)
@@ -224,16 +291,25 @@ def remove_repeats(
                     yield sent([(bucket, kind, value)])
                     continue
                 if bucket != now and values:
-                    if out := list(subtree_repeats(values, results)):
+                    if out := list(bucket_repeats(values, results)):
                         yield sent(out)
                     values = []
                 now = bucket
                 values.append(value)
-        if values and (out := list(subtree_repeats(values, results))):
+        if values and (out := list(bucket_repeats(values, results))):
             yield sent(out)
 
     parts = "bucket long, kind int, value binary"
-    entries = tagged.select("id", "tag", "text").filter("id is not null and text is not null").mapInArrow(send, parts)
+    told = tagged.select("id", "tag", "text").filter("id is not null and text is not null")
+    heavy = NONE_HEAVY
+    if buckets > 1:
+        counted = told.mapInArrow(count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).persist()
+        share = (counted.agg(F.sum("n")).first()[0] or 0) / buckets
+        # At most as many as there are buckets, as each holds more than a share.
+        over = counted.filter(F.col("n") > share).collect()
+        counted.unpersist()
+        heavy = heavy_slots(np.array([r["slot"] for r in over], np.int64), np.array([r["n"] for r in over], np.int64), share)
+    entries = told.mapInArrow(send, parts)
     # Kind first: repeats pass through, then each bucket's entries come together.
     by_bucket = entries.repartition(F.col("bucket")).sortWithinPartitions(F.col("kind").desc(), "bucket")
     repeats = by_bucket.mapInArrow(settle, parts).select("bucket", F.lit(0).alias("kind"), "value")

@@ -1,7 +1,11 @@
 import random
 import re
 
+import numpy as np
+import pyarrow as pa
+
 from slotwise.llm import substrings
+from slotwise.llm.words import runs, words_of
 
 
 def brute(rows, length=substrings.LENGTH):
@@ -57,3 +61,47 @@ def test_odd_rows(spark):
     assert got(substrings.remove_repeats(docs)) == brute(rows)
     assert substrings.remove_repeats(docs, keep=("kept",)).columns[:2] == ["doc_id", "kept"]
     assert substrings.remove_repeats(docs.limit(0)).count() == 0
+
+
+def frequent_prefix():
+    """Five words whose hash is so small that nearly every window around them is anchored there."""
+    phrases = [[f"q{n}_{i}" for i in range(5)] for n in range(20_000)]
+    hashes, _ = runs(words_of(pa.array([" ".join(p) for p in phrases])), 5)
+    return phrases[int(np.argmin(hashes))]
+
+
+def test_a_frequent_prefix_is_dealt_to_many_buckets(spark, monkeypatch):
+    rng = random.Random(9)
+    phrase, other = frequent_prefix(), lambda n: [f"o{rng.randrange(10**6)}" for _ in range(n)]
+    blocks = [[" ".join(other(12) + phrase + other(12)) for _ in range(600)] for _ in range(3)]
+    blocks[2][:50] = blocks[0][:50]
+    ids = [np.arange(600 * n, 600 * n + 600) for n in range(3)]
+    tags, buckets = np.zeros(600, "<u4"), 20
+
+    def most(heavy):
+        """Windows of the fullest bucket, and all repeats."""
+        sizes, values, repeats = {}, {}, set()
+        for texts, i in zip(blocks, ids):
+            for bucket, kind, value in substrings.block_entries(pa.array(texts), i, tags, 13, buckets, 1, heavy):
+                assert kind == 0
+                values.setdefault(bucket, []).append(value)
+                sizes[bucket] = sizes.get(bucket, 0) + int(substrings.unpack(value, *substrings.ENTRY)[5].sum())
+        for found in values.values():
+            for *_, value in substrings.bucket_repeats(found, 1):
+                for d, _, start, size in zip(*substrings.unpack(value, *substrings.FOUND)):
+                    repeats |= {(int(d), int(start) + k) for k in range(size)}
+        return max(sizes.values()), sum(sizes.values()) / buckets, repeats
+
+    counts = sum(substrings.block_counts(pa.array(t), i, tags, 13, buckets) for t, i in zip(blocks, ids))
+    heavy = substrings.heavy_slots(np.arange(len(counts)), counts, counts.sum() / buckets)
+    together, share, repeats = most(substrings.NONE_HEAVY)
+    dealt, same_share, same = most(heavy)
+    assert len(heavy[0]) == 1 and counts.sum() == share * buckets == same_share * buckets
+    assert together > 8 * share and dealt < 3 * share
+    assert same == repeats == {(d, k) for d in range(1200, 1250) for k in range(17)}
+
+    rows = [(int(k), t) for texts, i in zip(blocks, ids) for k, t in zip(i, texts)]
+    for name in ("BLOCK_BYTES", "BUCKET_BYTES", "RESULT_BYTES"):
+        monkeypatch.setattr(substrings, name, 20_000)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert got(substrings.remove_repeats(docs)) == brute(rows)
