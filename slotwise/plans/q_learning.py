@@ -14,8 +14,6 @@ from slotwise.plans.q_tables import nation_log
 from slotwise.plans.registry import query, tidy
 from slotwise.plans.sql import DAY_PROFILE, JOINED, NATION_PROFILE, SLOT_PROFILE
 
-STARTS = 4
-
 
 def _profile(spark, d):
     return Pr.airport_profile(nation_log(spark, d))
@@ -46,7 +44,7 @@ def standardise(spark, d):
 
 @query("M2_M3_airport_clusters")
 def airport_clusters(spark, d):
-    return K.cluster_airports(_profile(spark, d), starts=STARTS).rows
+    return K.cluster_airports(_profile(spark, d)).rows
 
 
 @query("M4_cluster_names", f"""WITH {NATION_PROFILE},
@@ -69,7 +67,7 @@ def cluster_summary(spark, d):
 
 @query("M5_k_scan")
 def k_scan(spark, d):
-    return K.scan_airports(_profile(spark, d), starts=STARTS)
+    return K.scan_airports(_profile(spark, d))
 
 
 # A diagnosis table drawn from order years: one row per k.
@@ -96,17 +94,17 @@ def k_choice(spark, d):
 @query("M7_flight_segments")
 def flight_segments(spark, d):
     slots = Pr.slot_profile(tables.joined(spark, d), 30)
-    return K.segment_flights(slots, 2, 5, 0.02, starts=STARTS).rows
+    return K.segment_flights(slots).rows
 
 
 @query("M8_day_segments")
 def day_segments(spark, d):
-    return K.segment_days(Pr.day_profile(tables.joined(spark, d), 10), 2, 5, 0.02, starts=STARTS).rows
+    return K.segment_days(Pr.day_profile(tables.joined(spark, d), 10)).rows
 
 
 @query("M9_outcome_spread_by_k")
 def outcome_spread(spark, d):
-    return K.segment_days(Pr.day_profile(tables.joined(spark, d), 10), 2, 5, 0.02, starts=STARTS).diagnosis
+    return K.segment_days(Pr.day_profile(tables.joined(spark, d), 10)).diagnosis
 
 
 _SEGMENT = "ascii(substr(aerolinea_dgac, 1, 1)) % 3"
@@ -143,6 +141,7 @@ LINE_SETS = {
     "solo clima": ["l_discount", "l_tax"],
     "clima + operacion": ["l_quantity", "l_linenumber", "l_extendedprice", "l_discount", "l_tax"],
 }
+# Only for M17_grid_rows, whose SQL counts these; all other searches take the published grid.
 SMALL_GRID = {
     "GradientBoosting": [{"max_iter": 3, "learning_rate": 0.1, "max_depth": 2, "min_samples_leaf": 20}],
     "RegresionLogistica": [{"C": 1.0}, {"C": 0.01}],
@@ -186,7 +185,7 @@ def stratified_split(spark, d):
 
 def _forest(spark, d):
     return M.train_forest(
-        line_items(spark, d), LINE_SETS["clima + operacion"], "y", LINE_KEY, trees=10, depth=5, target="l_returnflag = R")
+        line_items(spark, d), LINE_SETS["clima + operacion"], "y", LINE_KEY, target="l_returnflag = R")
 
 
 @query("M10_M20_forest_report")
@@ -222,18 +221,18 @@ SELECT features, algoritmo, n FROM (VALUES ('solo operacion', 'GradientBoosting'
   ('solo operacion', 'RegresionLogistica', 2), ('solo clima', 'RegresionLogistica', 2), ('clima + operacion', 'RegresionLogistica', 2)) v(features, algoritmo, m),
   LATERAL (SELECT m::BIGINT AS n)""")
 def grid_rows(spark, d):
-    return _search(spark, d).search.groupBy("features", "algoritmo").agg(F.count("*").alias("n"))
+    return _search(spark, d, SMALL_GRID).search.groupBy("features", "algoritmo").agg(F.count("*").alias("n"))
 
 
 @query("M12_cross_validation")
 def cross_validation(spark, d):
     return M.cross_validate_forest(
-        line_items(spark, d), LINE_SETS["clima + operacion"], "y", LINE_KEY, folds=5, trees=5, depth=4)
+        line_items(spark, d), LINE_SETS["clima + operacion"], "y", LINE_KEY)
 
 
-def _search(spark, d, repeats=0):
+def _search(spark, d, grid=M.GRID, repeats=0):
     tagged = M.temporal_split(line_items(spark, d), "anio", 1999, 2000)
-    return M.search_models(tagged, "y", "tramo", LINE_KEY, LINE_SETS, SMALL_GRID, repeats=repeats)
+    return M.search_models(tagged, "y", "tramo", LINE_KEY, LINE_SETS, grid, repeats=repeats)
 
 
 @query("M15_M16_M17_grid_search")
@@ -253,4 +252,4 @@ def test_area_pivot(spark, d):
 
 @query("M19_permutation_importance")
 def permutation(spark, d):
-    return _search(spark, d, repeats=2).importance
+    return _search(spark, d, repeats=5).importance

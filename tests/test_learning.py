@@ -150,3 +150,44 @@ def test_cross_validation_report(learnable):
 def test_actual_time_is_not_a_feature():
     assert "min_dia" not in M.WEATHER_FEATURES + M.OPERATION_FEATURES
     assert "desvio_min" not in M.WEATHER_FEATURES + M.OPERATION_FEATURES
+
+
+def test_registered_queries_take_the_published_settings(spark, sf, monkeypatch):
+    """What each query passes on, filled up with the operator's defaults."""
+    import inspect
+
+    from slotwise.plans.registry import QUERIES
+    from slotwise.plans import q_learning  # noqa: F401
+
+    class Seen(Exception):
+        pass
+
+    def settings(query, module, name):
+        real = getattr(module, name)
+
+        def see(*args, **kwargs):
+            bound = inspect.signature(real).bind(*args, **kwargs)
+            bound.apply_defaults()
+            raise Seen(bound.arguments)
+
+        with monkeypatch.context() as patched:
+            patched.setattr(module, name, see)
+            with pytest.raises(Seen) as seen:
+                QUERIES[query](spark, sf)
+        return seen.value.args[0]
+
+    assert settings("M2_M3_airport_clusters", K, "cluster_airports")["starts"] == 20
+    got = settings("M5_k_scan", K, "scan_airports")
+    assert (got["starts"], list(got["ks"])) == (20, list(range(2, 9)))
+    for query, name in (("M7_flight_segments", "segment_flights"), ("M8_day_segments", "segment_days"),
+                        ("M9_outcome_spread_by_k", "segment_days")):
+        got = settings(query, K, name)
+        assert (got["k_min"], got["k_max"], got["starts"]) == (2, 8, 20)
+    for query in ("M10_M20_forest_report", "M13_gini_importance", "M10_M13_forest_checks"):
+        got = settings(query, M, "train_forest")
+        assert (got["trees"], got["depth"]) == (200, 12)
+    got = settings("M12_cross_validation", M, "cross_validate_forest")
+    assert (got["folds"], got["trees"], got["depth"]) == (5, 150, 12)
+    for query in ("M15_M16_M17_grid_search", "M18_feature_set_metrics", "M18_test_area_pivot", "M19_permutation_importance"):
+        assert settings(query, M, "search_models")["grid"] == M.GRID
+    assert settings("M19_permutation_importance", M, "search_models")["repeats"] == 5
