@@ -6,6 +6,9 @@ multisets of paragraphs apart, and 1024 lanes that get plus or minus one from ea
 differences of the latter estimate how many paragraphs two documents do not share. Adding or removing paragraphs adds or
 subtracts their vectors. The fingerprint is the SHA-256 of the state.
 
+A line is the smallest unit: a document of one paragraph that is edited anywhere shares no paragraph with its edited text, so
+their likeness is about 0 even if half of its words are kept, and does not tell it from an unrelated document.
+
 Null and empty texts have the zero state; two documents without paragraphs are alike (1.0). Repeated rows and ties in
 ``doc_id`` are ordered by the text's key, rows without a ``doc_id`` come last in descending order. Extra columns are left
 out. An empty table gives an empty table; a table of one row is its own next document.
