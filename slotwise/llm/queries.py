@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slotwise.llm import (
-    bpe, chat, decontaminate, fingerprints, language, licenses, minhash, substrings, token_scan, warc,
+    bpe, chat, decontaminate, divergence, fingerprints, language, licenses, minhash, repair, substrings, token_scan,
+    toxicity, warc,
 )
 from slotwise.session import scratch_path
 
@@ -82,6 +83,21 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_report(table(spark, sf_dir, "pages"))
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document."""
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the sources of every language differ, and the terms that set each apart."""
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults of damaged conversations and their cheapest repair."""
+    return repair.repair(repair.damaged(table(spark, sf_dir, "conversations")))
+
+
 QUERIES: dict[str, Query] = {
     "op1_minhash": op1_minhash,
     "op2_decontamination": op2_decontamination,
@@ -93,8 +109,13 @@ QUERIES: dict[str, Query] = {
     "op8_language": op8_language,
     "op9_bpe": op9_bpe,
     "op10_warc": op10_warc,
+    "op11_toxicity": op11_toxicity,
+    "op12_divergence": op12_divergence,
+    "op13_repair": op13_repair,
 }
 ORACLES: dict[str, str] = {
     "op6_chat": chat.DIGESTS_SQL,
     "op10_warc": warc.REPORT_SQL,
+    "op12_divergence": divergence.AUDIT_SQL,
+    "op13_repair": repair.REPAIR_SQL,
 }
