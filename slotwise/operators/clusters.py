@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import partial
 from typing import NamedTuple
 
 from pyspark.ml.clustering import KMeans, KMeansModel
@@ -13,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from slotwise.operators.fits import at_once, dealt
 from slotwise.operators.profiles import DAY_FEATURES, flag_critical
 from slotwise.operators.sizing import broadcast_if_small
 
@@ -20,6 +22,9 @@ AIRPORT_FEATURES = ["total_vuelos", "pct_intl", "pmd_mediana", "n_aerolineas", "
 AIRPORT_LOGS = ["total_vuelos", "pmd_mediana", "n_aerolineas", "cnt_ops_media"]
 SLOT_FEATURES = ["hora_programada", "tasa_retraso", "variabilidad_min", "pct_severo", "n_operaciones"]
 
+#: Runs of k-means at a time: their points are few or cached once, and all they hold is centres.
+STARTS_AT_ONCE = 8
+
 # Cluster names in the order in which they are given out; the last is for the rest.
 CLUSTER_NAMES = ["Hub internacional", "Pesados / carga", "Alta aviacion general", "Pequeños / regionales"]
 
@@ -47,12 +52,17 @@ def assemble(df: DataFrame, columns: Sequence[str], out: str = "features") -> Da
 
 def fit_kmeans(points: DataFrame, k: int, seed: int = 42, starts: int = 20) -> KMeansModel:
     """The cheapest of several seeded runs."""
-    best: KMeansModel | None = None
-    for i in range(starts):
-        model = KMeans(k=k, seed=seed + i, featuresCol="features", predictionCol="cluster").fit(points)
-        if best is None or model.summary.trainingCost < best.summary.trainingCost:
-            best = model
-    return best
+    return fit_all_k(points, [k], seed, starts)[k]
+
+
+def fit_all_k(points: DataFrame, ks: Sequence[int], seed: int = 42, starts: int = 20) -> dict[int, KMeansModel]:
+    """The cheapest of several seeded runs for every k; all runs are submitted together. Ties go to the first seed."""
+    def run(k: int, i: int) -> KMeansModel:
+        return KMeans(k=k, seed=seed + i, featuresCol="features", predictionCol="cluster").fit(points)
+
+    runs = [(k, i) for k in ks for i in range(starts)]
+    found = dict(zip(runs, at_once(points.sparkSession, [partial(run, *r) for r in runs], STARTS_AT_ONCE)))
+    return {k: min((found[k, i] for i in range(starts)), key=lambda m: m.summary.trainingCost) for k in ks}
 
 
 def project_2d(points: DataFrame) -> tuple[DataFrame, list[float]]:
@@ -76,18 +86,18 @@ def scan_k(points: DataFrame, ks: Sequence[int], seed: int = 42, starts: int = 2
     """
     points = points.persist()
     total = points.count()
-    judge = ClusteringEvaluator(featuresCol="features", predictionCol="cluster")
-    models, rows = {}, []
-    for k in ks:
-        model = fit_kmeans(points, k, seed, starts)
-        placed = model.transform(points).persist()
-        sizes = [n for n in model.summary.clusterSizes if n > 0]
-        rows.append((
-            k, float(model.summary.trainingCost), float(judge.evaluate(placed)),
-            min(sizes) / total, float(extra(placed)) if extra else None,
-        ))
-        models[k] = model
-        placed.unpersist()
+    even = dealt(points, total).persist()
+    models = fit_all_k(even, ks, seed, starts)
+
+    def judged(k: int) -> tuple:
+        placed = models[k].transform(even)
+        sizes = [n for n in models[k].summary.clusterSizes if n > 0]
+        judge = ClusteringEvaluator(featuresCol="features", predictionCol="cluster")
+        return (k, float(models[k].summary.trainingCost), float(judge.evaluate(placed)),
+                min(sizes) / total, float(extra(placed)) if extra else None)
+
+    rows = at_once(points.sparkSession, [partial(judged, k) for k in ks], STARTS_AT_ONCE)
+    even.unpersist()
     points.unpersist()
     table = points.sparkSession.createDataFrame(
         rows, "k int, inercia double, silhouette double, cluster_mas_chico_pct double, extra double"

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from slotwise.functions import binning as B
 from slotwise.operators.ranking import exact_quantiles, running_totals, stored
+from slotwise.operators.sizing import broadcast_if_small
 
 
 def scored_rows(df: DataFrame, label: str, score: str) -> DataFrame:
@@ -22,24 +23,32 @@ def scored_rows(df: DataFrame, label: str, score: str) -> DataFrame:
     return df.filter(F.col(label).isNotNull() & F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double")))
 
 
-def score_counts(df: DataFrame, label: str, score: str) -> DataFrame:
-    """Positives and negatives per distinct score."""
+def score_counts(df: DataFrame, label: str, score: str, keys: Sequence[str] = ()) -> DataFrame:
+    """Positives and negatives per distinct score (of each key)."""
     y = F.col(label).cast("long")
     return (
         scored_rows(df, label, score)
-        .select(F.col(score).cast("double").alias("umbral"), y.alias("_y"))
-        .groupBy("umbral")
+        .select(*keys, F.col(score).cast("double").alias("umbral"), y.alias("_y"))
+        .groupBy(*keys, "umbral")
         .agg(F.sum("_y").alias("_pos"), F.sum(1 - F.col("_y")).alias("_neg"))
     )
 
 
-def curve_points(df: DataFrame, label: str, score: str, rows_per_cell: int | None = None) -> DataFrame:
-    """Per distinct score, as a threshold: true and false positives, and the totals."""
-    counts = stored(score_counts(df, label, score))
+def curve_points(
+    df: DataFrame, label: str, score: str, rows_per_cell: int | None = None, keys: Sequence[str] = ()
+) -> DataFrame:
+    """Per distinct score, as a threshold: true and false positives, and the totals.
+
+    With ``keys``, the curves of all of them at once: as many scored models as one pass should compare.
+    """
+    counts = stored(score_counts(df, label, score, keys))
     running = running_totals(
-        counts, "umbral", {"tp": F.col("_pos"), "fp": F.col("_neg")}, descending=True,
+        counts, "umbral", {"tp": F.col("_pos"), "fp": F.col("_neg")}, keys, descending=True,
         rows_per_cell=rows_per_cell, is_stored=True,
     )
+    if keys:
+        whole = counts.groupBy(*keys).agg(F.sum("_pos").alias("positivos"), F.sum("_neg").alias("negativos"))
+        return running.join(broadcast_if_small(whole), on=list(keys))
     totals = counts.agg(F.sum("_pos").alias("tp"), F.sum("_neg").alias("fp")).first()
     return running.withColumns({
         "positivos": F.lit(totals["tp"] or 0).cast("long"), "negativos": F.lit(totals["fp"] or 0).cast("long"),
@@ -89,6 +98,12 @@ def auc_value(df: DataFrame, label: str, score: str) -> float:
     return float(found)
 
 
+def areas(df: DataFrame, label: str, score: str, keys: Sequence[str]) -> DataFrame:
+    """The area of every key, all from one pass; null where a class is missing."""
+    points = curve_points(df, label, score, keys=keys)
+    return points.groupBy(*keys).agg(_area(points).alias("roc_auc"))
+
+
 def average_precision(df: DataFrame, label: str, score: str) -> DataFrame:
     return curve_points(df, label, score).agg(_average_precision().alias("average_precision"))
 
@@ -150,8 +165,14 @@ def calibration(df: DataFrame, label: str, score: str, bins: int = 10) -> DataFr
 
 def metric_row(df: DataFrame, label: str, score: str, model: str, features: str) -> DataFrame:
     """One report row: base rate, area, average precision, lift, Brier, precision, recall and F1."""
-    kept = df.select(F.col(label).cast("int").alias("y"), F.col(score).cast("double").alias("p"))
-    points = curve_points(kept, "y", "p")
+    return metric_rows(df, label, score).select(
+        F.lit(model).alias("modelo"), F.lit(features).alias("features"), "*")
+
+
+def metric_rows(df: DataFrame, label: str, score: str, keys: Sequence[str] = ()) -> DataFrame:
+    """The numbers of a report row, for every key at once if there are any."""
+    kept = df.select(*keys, F.col(label).cast("int").alias("y"), F.col(score).cast("double").alias("p"))
+    points = curve_points(kept, "y", "p", keys=keys)
     rate = F.try_divide(F.max("positivos"), F.max("positivos") + F.max("negativos"))
     # Every metric is a sum over distinct scores, so one pass over the counts gives them all.
     s, n = F.col("umbral"), F.col("_pos") + F.col("_neg")
@@ -159,9 +180,7 @@ def metric_row(df: DataFrame, label: str, score: str, model: str, features: str)
     tp = F.sum(F.when(s >= 0.5, F.col("_pos")).otherwise(0))
     fp = F.sum(F.when(s >= 0.5, F.col("_neg")).otherwise(0))
     fn = F.sum(F.when(s < 0.5, F.col("_pos")).otherwise(0))
-    return points.agg(
-        F.lit(model).alias("modelo"),
-        F.lit(features).alias("features"),
+    return points.groupBy(*keys).agg(
         F.round(rate, 4).alias("tasa_base_test"),
         F.round(_area(points), 4).alias("roc_auc"),
         F.round(_average_precision(), 4).alias("average_precision"),

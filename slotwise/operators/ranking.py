@@ -9,6 +9,7 @@ again after a lost executor finds the same ones.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -19,6 +20,7 @@ from slotwise.operators.sizing import broadcast_if_small
 from slotwise.session import shared_dir
 
 ROWS_PER_CELL = 200_000
+ROUNDS = 5  # of the network that permutes places
 
 
 def stored(df: DataFrame) -> DataFrame:
@@ -64,6 +66,42 @@ def running_totals(
     ).drop("_cell", *[f"_before_{name}" for name in sums])
 
 
+def _sides(n: int) -> tuple[int, int]:
+    """Two factors of a number that is at least ``n`` and hardly larger, near its root."""
+    low = max(1, math.isqrt(n))
+    best = min(range(low, min(2 * low, low + 100_000) + 1), key=lambda a: (a * -(-n // a) - n, a))
+    return best, -(-n // best)
+
+
+def permuted_place(place: Column, n: int, *key: int) -> Column:
+    """A permutation of the places 0 to n - 1, drawn by the key: computed for each place on its own.
+
+    A Feistel network over pairs of remainders permutes the numbers below a product of two factors that
+    is hardly larger than ``n``; numbers from ``n`` on are sent through again. Such a walk meets each of these
+    few numbers once at most, so it ends.
+    """
+    a, b = _sides(n)
+
+    def once(x: Column) -> Column:
+        start = F.struct((x % a).alias("l"), F.call_function("div", x, F.lit(a)).alias("r"))
+
+        def mix(half: Column, other: Column, side: int, turn: Column, size: int) -> Column:
+            return (half + F.pmod(F.xxhash64(other, turn, *map(F.lit, (side, *key))), F.lit(size))) % size
+
+        def turned(pair: Column, turn: Column) -> Column:
+            left = mix(pair["l"], pair["r"], 0, turn, a)
+            return F.struct(left.alias("l"), mix(pair["r"], left, 1, turn, b).alias("r"))
+
+        end = F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, turned)
+        return end["l"] + end["r"] * a
+
+    spare = a * b - n
+    first = once(place.cast("long"))
+    if not spare:
+        return first
+    return F.aggregate(F.sequence(F.lit(1), F.lit(spare)), first, lambda x, _: F.when(x < n, x).otherwise(once(x)))
+
+
 def stable_order(*columns: Column | str, seed: int = 42) -> Column:
     """A reproducible shuffle key: sixty bits of the MD5 of the columns as text and the seed.
 

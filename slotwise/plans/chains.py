@@ -19,6 +19,7 @@ from slotwise.operators import clusters as K
 from slotwise.operators import enrich, filters, prepare, quality, timetable, weather
 from slotwise.operators import models as M
 from slotwise.operators import profiles as Pr
+from slotwise.operators import search as S
 from slotwise.sources import files, sinks
 
 
@@ -147,7 +148,7 @@ def delay_risk(
     joined, features = flights_with_weather(log, daily, store, s)
     matrix = store.table("matriz_features", M.feature_matrix(joined, key))
     tagged = M.temporal_split(matrix, "_year", s.anio_validacion, s.anio_corte_test)
-    found = M.search_models(
+    found = S.search_models(
         tagged, "retraso", "tramo", key, M.FEATURE_SETS, s.grid, repeats=s.repeats, seed=s.random_state)
     store.model("modelo_retrasos", found.model)
     scored = store.table("proba_test", found.scored)

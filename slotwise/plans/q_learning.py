@@ -8,6 +8,7 @@ from slotwise.operators import clusters as K
 from slotwise.operators import metrics as X
 from slotwise.operators import models as M
 from slotwise.operators import profiles as Pr
+from slotwise.operators import search as S
 from slotwise.operators.filters import stratified_parts
 from slotwise.plans import tables
 from slotwise.plans.q_tables import nation_log
@@ -141,11 +142,6 @@ LINE_SETS = {
     "solo clima": ["l_discount", "l_tax"],
     "clima + operacion": ["l_quantity", "l_linenumber", "l_extendedprice", "l_discount", "l_tax"],
 }
-# Only for M17_grid_rows, whose SQL counts these; all other searches take the published grid.
-SMALL_GRID = {
-    "GradientBoosting": [{"max_iter": 3, "learning_rate": 0.1, "max_depth": 2, "min_samples_leaf": 20}],
-    "RegresionLogistica": [{"C": 1.0}, {"C": 0.01}],
-}
 
 
 def line_items(spark, d):
@@ -216,23 +212,18 @@ def forest_checks(spark, d):
     return tidy(one)
 
 
-@query("M17_grid_rows", """
-SELECT features, algoritmo, n FROM (VALUES ('solo operacion', 'GradientBoosting', 1), ('solo clima', 'GradientBoosting', 1), ('clima + operacion', 'GradientBoosting', 1),
-  ('solo operacion', 'RegresionLogistica', 2), ('solo clima', 'RegresionLogistica', 2), ('clima + operacion', 'RegresionLogistica', 2)) v(features, algoritmo, m),
-  LATERAL (SELECT m::BIGINT AS n)""")
-def grid_rows(spark, d):
-    return _search(spark, d, SMALL_GRID).search.groupBy("features", "algoritmo").agg(F.count("*").alias("n"))
-
-
 @query("M12_cross_validation")
 def cross_validation(spark, d):
     return M.cross_validate_forest(
         line_items(spark, d), LINE_SETS["clima + operacion"], "y", LINE_KEY)
 
 
-def _search(spark, d, grid=M.GRID, repeats=0):
-    tagged = M.temporal_split(line_items(spark, d), "anio", 1999, 2000)
-    return M.search_models(tagged, "y", "tramo", LINE_KEY, LINE_SETS, grid, repeats=repeats)
+def _search(spark, d):
+    """One search for all of the following: what one of them has fitted, the next ones read."""
+    tagged = M.temporal_split(line_items(spark, d), "anio", 1999, 2000).select(
+        LINE_KEY, "y", "tramo", *LINE_SETS["clima + operacion"])
+    return S.search_models(
+        tagged, "y", "tramo", LINE_KEY, LINE_SETS, store=S.store_for(tagged, LINE_SETS, M.GRID, 42, "v1"))
 
 
 @query("M15_M16_M17_grid_search")
@@ -240,6 +231,17 @@ def grid_search(spark, d):
     return _search(spark, d).search
 
 
+@query("M17_grid_rows", """
+SELECT features, algoritmo, n, filas FROM (VALUES ('GradientBoosting', 6::BIGINT), ('RegresionLogistica', 4::BIGINT)) a(algoritmo, n),
+  (VALUES ('solo operacion'), ('solo clima'), ('clima + operacion')) f(features),
+  (SELECT count(*) AS filas FROM lineitem WHERE year(l_shipdate) < 1999)""")
+def grid_rows(spark, d):
+    """Configurations of each algorithm on each feature set, and the rows they were fitted on."""
+    rows = line_items(spark, d).filter("anio < 1999").count()
+    return _search(spark, d).search.groupBy("features", "algoritmo").agg(
+        F.count("*").alias("n"), F.lit(rows).cast("long").alias("filas"))
+
+
 @query("M18_feature_set_metrics")
 def feature_set_metrics(spark, d):
     return _search(spark, d).metrics
@@ -252,4 +254,36 @@ def test_area_pivot(spark, d):
 
 @query("M19_permutation_importance")
 def permutation(spark, d):
-    return _search(spark, d, repeats=5).importance
+    return _search(spark, d).importance
+
+
+@query("M15_M19_search_checks", """
+SELECT 30::BIGINT AS candidatos, 0::BIGINT AS areas_fuera, 0::BIGINT AS brechas_distintas, 6::BIGINT AS finalistas, 1::BIGINT AS seleccionados,
+  0::BIGINT AS finalistas_peores, 0::BIGINT AS seleccion_peor, 0::BIGINT AS sin_candidato, round(avg((l_returnflag = 'R')::INT), 4) AS tasa_base_test,
+  count(*) AS filas_test, 5::BIGINT AS importancias, 0::BIGINT AS probas_fuera
+FROM lineitem WHERE year(l_shipdate) >= 2000""")
+def search_checks(spark, d):
+    """What must hold of any search: sizes, gaps, finalists that are the best of their kind, and a winner that is the best."""
+    found = _search(spark, d)
+    search, metrics = found.search, found.metrics
+    top = search.groupBy("features", F.col("algoritmo").alias("modelo")).agg(F.max("roc_auc_val").alias("mejor"))
+    inside = lambda c: F.col(c).between(0, 1)
+    parts = [
+        search.agg(
+            F.count("*").alias("candidatos"),
+            F.count_if(~(inside("roc_auc_train") & inside("roc_auc_val"))).alias("areas_fuera"),
+            F.count_if(F.abs(F.col("roc_auc_train") - F.col("roc_auc_val") - F.col("brecha_sobreajuste")) > 0.00005).alias(
+                "brechas_distintas")),
+        metrics.join(top, ["features", "modelo"]).agg(
+            F.count("*").alias("finalistas"), F.count_if("seleccionado").alias("seleccionados"),
+            F.count_if(F.col("roc_auc_val") < F.col("mejor")).alias("finalistas_peores"),
+            (F.max("mejor") > F.max(F.when(F.col("seleccionado"), F.col("roc_auc_val")))).cast("long").alias("seleccion_peor"),
+            F.max("tasa_base_test").alias("tasa_base_test")),
+        metrics.join(search, ["features", "config", "roc_auc_val"], "left_anti").agg(F.count("*").alias("sin_candidato")),
+        found.scored.agg(F.count("*").alias("filas_test"), F.count_if(~inside("proba")).alias("probas_fuera")),
+        found.importance.agg(F.count_if(F.col("importancia").isNotNull() & F.col("std").isNotNull()).alias("importancias")),
+    ]
+    one = parts[0]
+    for part in parts[1:]:  # one row each
+        one = one.join(part)
+    return tidy(one)

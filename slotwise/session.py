@@ -12,6 +12,8 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Fits that run together share the executors job by job (operators/fits.py).
+    "spark.scheduler.mode": "FAIR",
     # Checkpoints go when nothing refers to them any more.
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }

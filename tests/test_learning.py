@@ -10,6 +10,7 @@ from slotwise.operators import metrics as X
 from slotwise.operators import models as M
 from slotwise.operators import profiles as Pr
 from slotwise.operators import ranking
+from slotwise.operators import search as S
 
 
 @pytest.fixture(scope="module")
@@ -122,7 +123,7 @@ def test_search_finds_the_informative_set(learnable):
     sets = {"solo operacion": ["a"], "solo clima": ["b", "c"], "clima + operacion": ["a", "b", "c"]}
     grid = {"GradientBoosting": [{"max_iter": 3, "learning_rate": 0.3, "max_depth": 2, "min_samples_leaf": 5}],
             "RegresionLogistica": [{"C": 1.0}]}
-    found = M.search_models(learnable, "y", "tramo", "id", sets, grid, repeats=1)
+    found = S.search_models(learnable, "y", "tramo", "id", sets, grid, repeats=1)
     metrics = {(r.features, r.modelo): r for r in found.metrics.collect()}
     assert len(metrics) == 6 and sum(r.seleccionado for r in metrics.values()) == 1
     assert metrics["solo operacion", "RegresionLogistica"].roc_auc > 0.95
@@ -188,6 +189,88 @@ def test_registered_queries_take_the_published_settings(spark, sf, monkeypatch):
         assert (got["trees"], got["depth"]) == (200, 12)
     got = settings("M12_cross_validation", M, "cross_validate_forest")
     assert (got["folds"], got["trees"], got["depth"]) == (5, 150, 12)
-    for query in ("M15_M16_M17_grid_search", "M18_feature_set_metrics", "M18_test_area_pivot", "M19_permutation_importance"):
-        assert settings(query, M, "search_models")["grid"] == M.GRID
-    assert settings("M19_permutation_importance", M, "search_models")["repeats"] == 5
+    for query in ("M15_M16_M17_grid_search", "M17_grid_rows", "M18_feature_set_metrics", "M18_test_area_pivot",
+                  "M19_permutation_importance", "M15_M19_search_checks"):
+        got = settings(query, S, "search_models")
+        assert (got["grid"], got["repeats"]) == (M.GRID, 5)
+
+
+SETS = {"solo operacion": ["a"], "solo clima": ["b", "c"], "clima + operacion": ["a", "b", "c"]}
+TINY = {"GradientBoosting": [{"max_iter": 2, "learning_rate": 0.3, "max_depth": 1, "min_samples_leaf": 5}],
+        "RegresionLogistica": [{"C": 1.0}, {"C": 0.1}]}
+
+
+def test_a_search_goes_on_where_it_was_left(learnable, monkeypatch, tmp_path):
+    """A driver that is lost after four fits loses no fit: the next one makes the other five and reads the rest."""
+    real, fits = S.fit_candidate, []
+
+    def counted(*args):
+        if len(fits) == 4:
+            raise RuntimeError("driver lost")
+        fits.append(args[1])
+        return real(*args)
+
+    monkeypatch.setattr(S, "fit_candidate", counted)
+    monkeypatch.setattr(S, "at_once", lambda spark, tasks: [task() for task in tasks])
+    with pytest.raises(RuntimeError):
+        S.search_models(learnable, "y", "tramo", "id", SETS, TINY, repeats=2, store=str(tmp_path))
+    monkeypatch.setattr(S, "fit_candidate", lambda *args: fits.append(args[1]) or real(*args))
+    first = S.search_models(learnable, "y", "tramo", "id", SETS, TINY, repeats=2, store=str(tmp_path))
+    assert len(fits) == 9
+    monkeypatch.setattr(S, "fit_candidate", None)
+    again = S.search_models(learnable, "y", "tramo", "id", SETS, TINY, repeats=2, store=str(tmp_path))
+    for a, b in zip((first.search, first.metrics, first.importance), (again.search, again.metrics, again.importance)):
+        assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+    left = {r.id: r.proba for r in first.scored.collect()}
+    assert left == {r.id: r.proba for r in again.scored.collect()} and len(left) == 225
+
+
+def test_areas_of_all_candidates_are_those_of_each(learnable, spark):
+    found = S.search_models(learnable, "y", "tramo", "id", SETS, TINY, repeats=0)
+    row = found.metrics.filter("seleccionado").first()
+    alone = X.metric_row(found.scored, "y", "proba", row.modelo, row.features).first()
+    assert all(row[c] == alone[c] for c in alone.asDict())
+
+
+def test_equal_rows_in_any_order_lead_to_one_store(spark):
+    rows = [(i, i % 3, float(i)) for i in range(50)]
+    make = lambda r: spark.createDataFrame(r, "id int, y int, a double")
+    one = S.store_for(make(rows), "x")
+    assert one == S.store_for(make(rows[::-1]).repartition(3), "x")
+    assert one not in (S.store_for(make(rows), "y"), S.store_for(make(rows[1:]), "x"),
+                       S.store_for(make(rows[:-1] + [(49, 1, 48.5)]), "x"))
+
+
+def test_fits_run_together_and_a_failure_ends_them(spark):
+    import threading
+
+    from slotwise.operators.fits import at_once
+
+    meet = threading.Barrier(3, timeout=60)
+    assert at_once(spark, [lambda i=i: (meet.wait(), spark.range(i).count())[1] for i in range(3)]) == [0, 1, 2]
+
+    def fails():
+        raise ValueError("no")
+
+    with pytest.raises(ValueError):
+        at_once(spark, [fails, lambda: spark.range(10).count()])
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 7, 97, 1000, 4099])
+def test_places_are_permuted(spark, n):
+    keys = [(1, 0), (1, 1), (2, 0)]
+    rows = spark.range(n).select("id", *[ranking.permuted_place(F.col("id"), n, *k).alias(f"p{i}") for i, k in enumerate(keys)]).collect()
+    got = [[r[f"p{i}"] for r in sorted(rows)] for i in range(3)]
+    assert all(sorted(p) == list(range(n)) for p in got)
+    if n >= 97:
+        assert got[0] != got[1] != got[2]
+        assert sum(a == b for a, b in zip(got[0], range(n))) < 10
+        assert len({(b - a) % n for a, b in zip(got[0], got[0][1:])}) > n // 4  # not a rotation
+
+
+def test_large_numbers_of_places(spark):
+    for n in (10**9 + 7, 10**13 + 37):
+        a, b = ranking._sides(n)
+        assert 0 <= a * b - n < 100
+        p = spark.range(3).select(ranking.permuted_place(F.col("id") + n - 3, n, 5).alias("p"))
+        assert all(0 <= r.p < n for r in p.collect())
