@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime
+from datetime import date, datetime, timedelta
 from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column, DataFrame
@@ -24,11 +24,15 @@ def scope_cut(
 ) -> DataFrame:
     """One airport, one half-open period in local time, some activities. All three reach the scan.
 
-    The limits are midnights of ``zone`` (else of the session zone) for zoned times.
+    The limits are midnights of ``zone`` (else of the session zone) for zoned times. A log stored by year (column
+    ``anio_operacion``) is read only in the years that the period touches in any zone.
     """
     require_columns(flights, ["aeropuerto_oaci", "dt_operacion", "actividad_cod"])
     kind = flights.schema["dt_operacion"].dataType
     first, end = (_midnight(d, kind, zone) for d in (date_from, date_to))
+    if "anio_operacion" in flights.columns:
+        years = [(date.fromisoformat(d) + timedelta(days=n)).year for d, n in ((date_from, -1), (date_to, 1))]
+        flights = flights.filter(F.col("anio_operacion").between(*years))
     return flights.filter(
         (F.col("aeropuerto_oaci") == airport)
         & (F.col("dt_operacion") >= first)

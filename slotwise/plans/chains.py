@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from slotwise.functions import cleaning as C
 from slotwise.operators import clusters as K
-from slotwise.operators import enrich, filters, prepare, quality, timetable, weather
+from slotwise.operators import enrich, filters, fitted, prepare, quality, timetable, weather
 from slotwise.operators import models as M
 from slotwise.operators import profiles as Pr
 from slotwise.operators import search as S
@@ -77,11 +77,11 @@ def inventory(spark, folder: str, store: Store, max_files: int = 2, max_rows: in
 
 
 def integrate(log: DataFrame, monthly: DataFrame, store: Store, s: Settings = Settings()) -> DataFrame:
-    """Cleaned log in local time with the monthly operation count, stored by year so that periods prune."""
+    """Cleaned log in local time with the monthly operation count, stored by year: ``scope_cut`` reads the years it needs."""
     cleaned = prepare.preprocess_log(prepare.localise(log, s.zona))
     joined = enrich.join_monthly_operations(cleaned, monthly)
     by_year = joined.withColumn("anio_operacion", F.year("dt_operacion"))
-    return store.table("vuelos_con_operaciones", by_year, ["anio_operacion"]).drop("anio_operacion")
+    return store.table("vuelos_con_operaciones", by_year, ["anio_operacion"])
 
 
 def volume_tables(log: DataFrame, years: Sequence[int]) -> dict[str, DataFrame]:
@@ -113,7 +113,7 @@ def baseline(log: DataFrame, key: str, store: Store, s: Settings = Settings()) -
     coded = store.table("clasificador_features", coded)
     forest = M.train_forest(
         coded, features, "y", key, s.sample, s.trees, s.depth, s.random_state, target="es_internacional")
-    store.model("modelo_rf", forest.model)
+    store.model("modelo_rf", fitted.with_model(fitted.learnt_border(log), features, forest.model))
     cv = M.cross_validate_forest(
         coded, features, "y", key, 5, s.cv_sample, s.cv_trees, s.depth, s.random_state)
     return {
@@ -150,7 +150,9 @@ def delay_risk(
     tagged = M.temporal_split(matrix, "_year", s.anio_validacion, s.anio_corte_test)
     found = S.search_models(
         tagged, "retraso", "tramo", key, M.FEATURE_SETS, s.grid, repeats=s.repeats, seed=s.random_state)
-    store.model("modelo_retrasos", found.model)
+    known = joined.filter(F.col("tavg").isNotNull())
+    learnt = fitted.learnt_risk(known, F.col("anio") < s.anio_validacion)
+    store.model("modelo_retrasos", fitted.with_model(learnt, found.features, found.model))
     scored = store.table("proba_test", found.scored)
     slots = store.table("perfil_vuelos", Pr.slot_profile(joined, s.min_ops_slot))
     out = {

@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 from pyspark.ml import Pipeline
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from slotwise.operators import enrich, weather
+from slotwise.operators import enrich, prepare, weather
+from slotwise.operators.fitted import border_pipeline, fit_codes, fit_pipeline, risk_pipeline
 from slotwise.operators.quality import fact, inventory_summary, null_rates
 from slotwise.plans import tables
 from slotwise.plans.registry import query, tidy
-from slotwise.plans.sql import DAILY
+from slotwise.plans.sql import DAILY, FLIGHTS, JOINED
 from slotwise.session import scratch_path
 from slotwise.sources import files, readers, sinks
 
@@ -170,6 +173,54 @@ def model_persistence(spark, d):
         F.count_if(F.col("cluster").isNull()).alias("sin_grupo"))
 
 
+def _agree(before, after, key):
+    """Rows scored by a fitted pipeline and by the same one read back, and how many differ."""
+    p = vector_to_array("probability")[1]
+    a = before.select(key, p.alias("antes"))
+    b = after.select(key, p.alias("despues"))
+    return a.join(b, key, "full").agg(
+        F.count("*").alias("filas"), F.count_if(~F.col("antes").eqNullSafe(F.col("despues"))).alias("distintas"),
+        F.count_if(F.coalesce(~F.col("despues").between(0, 1), F.lit(True))).alias("sin_probabilidad"))
+
+
+@query("S10_M20_risk_model_scores_raw_flights", f"""WITH {JOINED}
+SELECT count(*) AS filas, 0::BIGINT AS distintas, 0::BIGINT AS sin_probabilidad FROM joined""")
+def risk_scores(spark, d):
+    """The risk model with its codes, medians and moments, saved, read back, and given flights as they come."""
+    flights = tables.joined(spark, d).persist()
+    line = LogisticRegression(labelCol="retraso", weightCol="peso", maxIter=30, regParam=0.01)
+    fitted = fit_pipeline(risk_pipeline(line, scaled=True), flights.filter("tavg IS NOT NULL"), "retraso")
+    path = scratch_path(spark, "risk")
+    sinks.save_model(fitted, path)
+    return _agree(fitted.transform(flights), sinks.load_pipeline(path).transform(flights), "event_id")
+
+
+@query("S10_M20_forest_scores_raw_flights", """
+SELECT count(*) AS filas, 0::BIGINT AS distintas, 0::BIGINT AS sin_probabilidad FROM events""")
+def forest_scores(spark, d):
+    log = prepare.preprocess_log(tables.flights(spark, d)).persist()
+    trees = RandomForestClassifier(labelCol="es_internacional", weightCol="peso", numTrees=20, maxDepth=6, maxBins=64, seed=42)
+    fitted = fit_pipeline(border_pipeline(trees), log.withColumn("es_internacional", F.col("es_internacional").cast("int")),
+                          "es_internacional")
+    path = scratch_path(spark, "forest")
+    sinks.save_model(fitted, path)
+    return _agree(fitted.transform(log), sinks.load_pipeline(path).transform(log), "event_id")
+
+
+@query("P21_P22_codes_learnt_once", f"""WITH {FLIGHTS},
+codes AS (SELECT modelo_avion, row_number() OVER (ORDER BY modelo_avion) - 1 AS c FROM
+  (SELECT DISTINCT modelo_avion FROM flights WHERE modelo_avion NOT IN ('M3', 'M11')))
+SELECT f.modelo_avion, coalesce(c, (SELECT max(c) + 1 FROM codes))::BIGINT AS modelo_cod, count(*) AS n
+FROM flights f LEFT JOIN codes USING (modelo_avion) WHERE tipo_operacion = 'D' AND f.modelo_avion <> 'M0' GROUP BY ALL""")
+def codes_learnt_once(spark, d):
+    """Codes learnt from one table, saved, and given to another, with values missing here and others never seen there."""
+    log = tables.flights(spark, d)
+    path = scratch_path(spark, "codes")
+    sinks.save_model(fit_codes(log.filter(~F.col("modelo_avion").isin("M3", "M11")), {"modelo_avion": "modelo_cod"}), path)
+    coded = sinks.load_pipeline(path).transform(log.filter("tipo_operacion = 'D' AND modelo_avion <> 'M0'"))
+    return coded.groupBy("modelo_avion", "modelo_cod").agg(F.count("*").alias("n"))
+
+
 @query("S11_report_facts_sink", """
 SELECT 'orders' AS categoria, o_orderstatus AS clave, CAST(count(*) AS VARCHAR) AS valor FROM orders GROUP BY o_orderstatus
 """)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
@@ -10,9 +11,31 @@ from pyspark.sql import DataFrame
 
 
 def save_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
-    """Write Parquet (by partition columns if given) and read it back, which also ends the lineage."""
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
-    return df.sparkSession.read.parquet(path)
+    """Write Parquet (by partition columns if given) and read it back, which also ends the lineage.
+
+    The table is written beside its place and put there when it is complete: a job that fails leaves the old
+    table as it was, and a table may be replaced by one that is computed from it. Where moving a folder is
+    one step, as on HDFS, readers miss the table for the moment between two such steps only.
+    """
+    spark, path = df.sparkSession, path.rstrip("/")
+    new, old = (f"{path}__{word}-{uuid.uuid4().hex}" for word in ("new", "old"))
+    at = lambda name: spark._jvm.org.apache.hadoop.fs.Path(name)
+    fs = at(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    try:
+        df.write.partitionBy(*partition_by).parquet(new)
+        replaced = fs.exists(at(path))
+        if replaced and not fs.rename(at(path), at(old)):
+            raise OSError(f"cannot move {path}")
+        if not fs.rename(at(new), at(path)):
+            if replaced:
+                fs.rename(at(old), at(path))
+            raise OSError(f"cannot move {new}")
+        if replaced:
+            fs.delete(at(old), True)
+    finally:
+        fs.delete(at(new), True)
+    spark.catalog.refreshByPath(path)
+    return spark.read.parquet(path)
 
 
 def save_facts(facts: DataFrame, path: str) -> DataFrame:

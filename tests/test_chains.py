@@ -1,11 +1,14 @@
 """Both chains end to end on a log of several years drawn from the stored events."""
 
 import pytest
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from slotwise.operators import filters
 from slotwise.operators.prepare import preprocess_log
 from slotwise.plans import chains, tables
 from slotwise.session import scratch_path
+from slotwise.sources import sinks
 
 QUICK = chains.Settings(
     aeropuerto_oaci="A1", fecha_desde="2021-01-01", fecha_hasta="2027-01-01", min_ops_slot=5, min_ops_dia=1,
@@ -49,6 +52,11 @@ def test_baseline_chain(spark, log, store):
     integrated = chains.integrate(log, monthly, store)
     assert integrated.count() == log.count()
     assert integrated.filter("cnt_operaciones IS NULL OR pmd IS NULL").count() == 0
+    pruned = filters.scope_cut(integrated, "A1", "2023-01-01", "2024-01-01")
+    plan = pruned._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(anio_operacion" in plan and "anio_operacion" in plan
+    assert pruned.count() == filters.scope_cut(integrated.drop("anio_operacion"), "A1", "2023-01-01", "2024-01-01").count() > 0
+    assert len(pruned.inputFiles()) <= len(integrated.inputFiles())
     # More airports than clusters are needed to place four centres.
     wide = integrated.withColumn("aeropuerto_oaci", F.concat("aeropuerto_oaci", "modelo_avion"))
     out = chains.baseline(wide, "event_id", store, QUICK)
@@ -57,6 +65,8 @@ def test_baseline_chain(spark, log, store):
     assert out["cluster_metricas"].count() == 7
     row = out["metricas_supervisado"].first()
     assert row.n_train + row.n_test == log.count() and 0 <= row.roc_auc <= 1
+    forest = sinks.load_pipeline(f"{store.root}/modelo_rf").transform(wide)
+    assert forest.count() == log.count() and forest.filter("probability IS NULL").count() == 0
     assert out["metricas_cv_supervisado"].first().metodo == "StratifiedKFold-5"
     volumes = chains.volume_tables(integrated, [2022, 2023, 2024, 2025])
     assert volumes["vuelos_por_anio"].count() == 4
@@ -71,6 +81,12 @@ def test_delay_risk_chain(spark, log, daily, store):
     assert out["metricas_retrasos"].filter("seleccionado").count() == 1
     assert out["busqueda_hiperparametros"].count() == 6
     assert out["proba_test"].filter("proba BETWEEN 0 AND 1").count() == out["proba_test"].count() > 0
+    # The stored model takes flights as they come, in a session of its own.
+    known = out["vuelos_clima"].filter("anio >= 2025")
+    again = sinks.load_pipeline(f"{store.root}/modelo_retrasos").transform(known)
+    both = again.select("event_id", vector_to_array("probability")[1].alias("otra")).join(out["proba_test"], "event_id")
+    assert both.count() == out["proba_test"].count()
+    assert both.filter("abs(otra - proba) > 1e-9").count() == 0
     assert out["segmentos_vuelos"].filter("es_segmento_critico = 1").count() > 0
     assert out["segmentos_diagnostico"].filter("elegido").count() == 1
     assert out["dias_diagnostico"].count() == 2
