@@ -11,6 +11,7 @@ from slotwise.functions import cleaning as C
 from slotwise.functions import wind
 from slotwise.operators.sizing import broadcast_if_small, require_columns
 
+# The columns of the prepared weather, in order.
 WEATHER_COLUMNS = [
     "fecha_cruce", "tavg", "tmin", "tmax", "amplitud_termica", "prcp", "dia_lluvioso",
     "wspd", "wdir", "viento_cruzado", "viento_frontal", "pres",
