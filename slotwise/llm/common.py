@@ -38,10 +38,14 @@ def discard(spark: SparkSession, scratch: list[str]) -> None:
     scratch.clear()
 
 
-def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Hand texts to Python workers in batches that stay small when texts are long."""
+def small_batches(spark: SparkSession, rows: int = 1000, most: int | None = None) -> None:
+    """Hand texts to Python workers in batches that stay small when texts are long: of few rows, and of few bytes."""
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > rows:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    if most:
+        now = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") or ""
+        if not (now.isdigit() and 0 < int(now) <= most):
+            spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(most))
 
 
 def gathered(batches: Iterable[pa.RecordBatch], column: str, most: int) -> Iterator[pa.RecordBatch]:

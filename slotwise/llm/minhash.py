@@ -8,10 +8,10 @@ earliest. Two documents agree on a coordinate with the probability of their weig
 Coordinates are joined in 42 bands of 6 (two texts of similarity 0.8 share none with a probability of 3 in a million). In
 each bucket of a band, and of two neighbouring bands together, every text is compared with the bucket's first; links
 are exact weighted similarities of ``least`` or more between the texts themselves. What these links leave apart inside a
-bucket is then compared across classes, block against block, by whole signatures, and what may be similar enough is
-compared exactly again: first each text with its nearest of each other class, then, when that has joined what belongs
-together, every pair that is left. So a class misses no link that any bucket holds. Equal texts are one node from the start, and a
-class is a connected component of links.
+bucket is then compared across classes, block against block: the texts bring their shingles along, a meeting of two blocks
+finds the exact similarity of every two of different classes, and reports a spanning forest of the links between the classes,
+so fewer rows than the blocks have texts. So a class misses no link that any bucket holds. Equal texts are one node
+from the start, and a class is a connected component of links.
 
 Null texts count as empty; all empty texts are equal, so they are one class. Texts of fewer than five words have one
 shingle. Repeated rows are members each; rows without an id belong to classes and never name one unless all its rows lack
@@ -33,9 +33,8 @@ from slotwise.llm.words import mixed, shingles, similarity, weighted, words_of
 
 COORDINATES, BANDS = 252, 42
 LEAST = 0.8
-#: How far below LEAST, in four standard deviations, the agreement of two signatures may lie by chance.
-SLACK = 4 * (LEAST * (1 - LEAST) / COORDINATES) ** 0.5
-BLOCK = 256
+#: Most texts and bytes of shingles in a block, on average, and shingles that a meeting of two blocks compares at once.
+BLOCK, BLOCK_BYTES, SLAB = 256, 2_000_000, 4096
 BATCH_BYTES = 1_000_000
 STEP = np.uint64(0xD1B54A32D192ED03)
 
@@ -94,8 +93,8 @@ def band_keys(signatures: np.ndarray, bands: int = BANDS) -> np.ndarray:
 
 
 def signed(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``node`` (the text's key), ``bands`` and ``sketch`` (16 bits of each coordinate) of every distinct text."""
-    small_batches(docs.sparkSession)
+    """``node`` (the text's key), ``bands`` and ``size`` (number of shingles) of every distinct text."""
+    small_batches(docs.sparkSession, most=4 * BLOCK_BYTES)
     rows = chosen(docs, node=text_key(docs[f"`{text}`"]), text=text).filter("length(text) > 0")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -104,14 +103,35 @@ def signed(docs: DataFrame, text: str = "text") -> DataFrame:
             hashes, owners, weights = weighted(*shingles(words_of(texts, lower=True)))
             found = darts(hashes, weights.astype(float), owners, len(texts))
             worded = np.isin(np.arange(len(texts)), owners)
-            keys, sketch = band_keys(found), found.astype("<u2")
+            keys, size = band_keys(found), np.bincount(owners, weights, len(texts)).astype(np.int64)
             yield pa.RecordBatch.from_arrays([
                 batch.column("node"), pa.array([k.tolist() if w else [] for k, w in zip(keys, worded)], pa.list_(pa.int64())),
-                pa.array([s.tobytes() for s in sketch], pa.binary()),
-            ], ["node", "bands", "sketch"])
+                pa.array(size),
+            ], ["node", "bands", "size"])
 
-    found = rows.mapInArrow(run, "node binary, bands array<long>, sketch binary")
-    return found.groupBy("node").agg(F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
+    found = rows.mapInArrow(run, "node binary, bands array<long>, size long")
+    return found.groupBy("node").agg(F.first("bands").alias("bands"), F.first("size").alias("size"))
+
+
+def shingle_sets(texts: DataFrame) -> DataFrame:
+    """``node`` and ``shingles`` of every row: its shingles as sorted 64-bit numbers, the n-th place of one as a number of its own.
+
+    So two of these sets have as Jaccard similarity the weighted one of the texts.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in gathered(batches, "text", BATCH_BYTES):
+            n = len(batch)
+            hashes, owners, weights = weighted(*shingles(words_of(batch.column("text"), lower=True)))
+            ends = np.cumsum(weights)
+            nth = np.arange(weights.sum()) - np.repeat(ends - weights, weights)
+            numbers, owner = mixed(np.repeat(hashes, weights) + nth.astype(np.uint64) * STEP), np.repeat(owners, weights)
+            numbers = numbers[np.lexsort((numbers, owner))].astype("<u8")
+            cuts = np.searchsorted(owner, np.arange(n + 1)).tolist()
+            sets = [numbers[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.binary())], ["node", "shingles"])
+
+    return texts.select("node", "text").mapInArrow(run, "node binary, shingles binary")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, least: float = LEAST) -> DataFrame:
@@ -137,58 +157,111 @@ def verified(pairs: DataFrame, texts: DataFrame, least: float = LEAST) -> DataFr
     return rows.select("a", "b", "text_a", "text_b").mapInArrow(run, "a binary, b binary, similarity double")
 
 
+def alike(one: list[bytes], two: list[bytes] | None, least: float = LEAST) -> np.ndarray:
+    """For each set of ``one`` and of ``two`` (none: ``one`` again) whether their similarity is ``least`` or more."""
+    sides = []
+    for sets in (one,) if two is None else (one, two):
+        size = np.array([len(s) // 8 for s in sets])
+        sides.append((np.frombuffer(b"".join(sets), "<u8"), np.repeat(np.arange(len(sets)), size), size))
+    if two is None:
+        values, times = np.unique(sides[0][0], return_counts=True)
+        shared, sides = values[times > 1], sides * 2
+    else:
+        shared = np.intersect1d(sides[0][0], sides[1][0])
+    both = np.zeros((len(sides[0][2]), len(sides[1][2])))
+    if len(shared):
+        # What both sides hold, by its number; a slab of them at a time is a product of two matrices of zeros and ones.
+        found = []
+        for numbers, owner, size in sides:
+            at = np.minimum(np.searchsorted(shared, numbers), len(shared) - 1)
+            hit = shared[at] == numbers
+            order = np.argsort(at[hit], kind="stable")
+            found.append((at[hit][order], owner[hit][order], len(size)))
+        for low in range(0, len(shared), SLAB):
+            held = []
+            for at, owner, n in found:
+                a, b = np.searchsorted(at, [low, low + SLAB])
+                part = np.zeros((n, min(SLAB, len(shared) - low)), np.float32)
+                part[owner[a:b], at[a:b] - low] = 1
+                held.append(part)
+            both += held[0] @ held[1].T
+    total = sides[0][2][:, None] + sides[1][2][None] - both
+    return both / np.maximum(total, 1) >= least
+
+
+def forest(pairs: np.ndarray, n: int) -> list[int]:
+    """The places of those pairs that join what the pairs before them leave apart, among ``n`` classes."""
+    parent = list(range(n))
+
+    def root(i: int) -> int:
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    kept = []
+    for place, (x, y) in enumerate(pairs.tolist()):
+        x, y = root(x), root(y)
+        if x != y:
+            parent[x] = y
+            kept.append(place)
+    return kept
+
+
 def across_classes(
-    shared: DataFrame, labels: DataFrame, nodes: DataFrame, nearest: bool, least: float = LEAST,
+    shared: DataFrame, labels: DataFrame, nodes: DataFrame, texts: DataFrame, least: float = LEAST,
     scratch: list[str] | None = None,
 ) -> DataFrame:
-    """Pairs of one bucket but different classes whose signatures agree enough for the similarity to be ``least``.
+    """Links (a, b) between texts of one bucket but different classes, enough to join all classes that have any.
 
-    A bucket's texts are dealt to blocks of about BLOCK, and each block meets each other one of its bucket; only
-    texts of different classes are compared, so a bucket that is one class already costs nothing. A pair is reported by
-    the first bucket that holds it. With ``nearest`` a text brings only its best partner of each class and meeting.
+    A bucket's texts are dealt to blocks of about BLOCK texts or BLOCK_BYTES of shingles, a large class of its own to blocks
+    that hold nothing else, and each block meets each other one of its bucket, unless both hold the same class. A
+    meeting compares exactly, and reports at most one link less than it holds classes.
     """
-    placed = shared.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    torn = placed.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low != high")
-    members = placed.join(torn.select("key"), "key", "left_semi").join(nodes.select("node", "sketch"), "node")
-    block = F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / BLOCK)).cast("int")
-    blocks = stored(members.withColumn("block", block).groupBy("key", "band", "block").agg(
-        F.collect_list(F.struct("node", "label", "sketch")).alias("rows")), "blocks", scratch)
-    one, two = blocks, blocks.select("key", F.col("block").alias("other"), F.col("rows").alias("more"))
-    meetings = one.join(two, "key").filter("block <= other").select("band", "rows", "more")
-    floor = (least - SLACK) * COORDINATES
+    named = nodes.select("node", "size").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    placed = shared.select("key", "node").join(named, "node")
+    # How many blocks a class of a bucket fills; those that fill none of their own share the bucket's mixed blocks.
+    share = F.greatest(F.col("n") / BLOCK, F.col("bytes") / BLOCK_BYTES)
+    held = placed.groupBy("key", "label").agg(F.count("*").alias("n"), (F.sum("size") * 8).alias("bytes"))
+    held = held.select("key", "label", share.alias("share"))
+    torn = held.groupBy("key").agg(
+        F.min("label").alias("low"), F.max("label").alias("high"),
+        F.sum(F.when(F.col("share") < 1, F.col("share")).otherwise(0)).alias("mixed"),
+    ).filter("low != high")
+    dealt = held.join(torn.select("key", "mixed"), "key")
+    members = stored(placed.join(dealt, ["key", "label"]).select(
+        "key", "node", "label",
+        F.when(F.col("share") >= 1, F.col("label")).alias("own"),
+        F.pmod(F.xxhash64("node"), F.ceil(F.greatest(F.when(F.col("share") >= 1, F.col("share")).otherwise(F.col("mixed")),
+                                                     F.lit(1)))).alias("part"),
+    ), "torn", scratch)
+    sets = shingle_sets(texts.join(members.select("node").distinct(), "node", "left_semi"))
+    blocks = stored(members.join(sets, "node").groupBy("key", F.xxhash64("own", "part").alias("block")).agg(
+        F.collect_list(F.struct("node", "label", "shingles")).alias("rows"),
+        F.min("label").alias("low"), F.max("label").alias("high")), "blocks", scratch)
+    one = blocks.select("key", "block", "rows", F.expr("if(low = high, low, null)").alias("only"))
+    two = one.select("key", F.col("block").alias("other"), F.col("rows").alias("more"), F.col("only").alias("alone"))
+    meetings = one.join(two, "key").filter("block <= other and not coalesce(only = alone, false)").select(
+        F.col("block") == F.col("other"), "rows", "more").toDF("same", "rows", "more")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def unpacked(rows):
-            values = rows.values
-            sketch = np.frombuffer(b"".join(values.field("sketch").to_pylist()), "<u2").reshape(len(values), -1)
-            return values.field("node").to_pylist(), values.field("label").to_pylist(), sketch
-
         for batch in batches:
-            left, right = [], []
-            for band, rows, more in zip(batch.column("band").to_pylist(), batch.column("rows"), batch.column("more")):
-                (n1, l1, s1), (n2, l2, s2) = unpacked(rows), unpacked(more)
-                number = {label: i for i, label in enumerate({*l1, *l2})}
-                if len(number) == 1:
-                    continue
-                k1, k2 = (np.array([number[x] for x in labels]) for labels in (l1, l2))
-                for low in range(0, len(n1), 64):
-                    part = s1[low:low + 64]
-                    agreed = np.count_nonzero(part[:, None] == s2[None], axis=2)
-                    i, j = np.nonzero((agreed >= floor) & (k1[low:low + 64, None] != k2[None]))
-                    same = (part[i] == s2[j]).reshape(len(i), BANDS, COORDINATES // BANDS).all(axis=2)
-                    here = same.argmax(axis=1) == band
-                    i, j = i[here], j[here]
-                    if nearest:
-                        best = np.lexsort((-agreed[i, j], k2[j], i))
-                        i, j = i[best], j[best]
-                        new = np.flatnonzero(np.r_[True, (np.diff(i) != 0) | (np.diff(k2[j]) != 0)][:len(i)])
-                        i, j = i[new], j[new]
-                    left.extend(n1[low + x] for x in i.tolist())
-                    right.extend(n2[x] for x in j.tolist())
-            yield pa.RecordBatch.from_arrays([pa.array(left, pa.binary()), pa.array(right, pa.binary())], ["x", "y"])
-
-    found = meetings.mapInArrow(run, "x binary, y binary")
-    return found.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).filter("a != b").distinct()
+            for k in range(batch.num_rows):
+                same = batch.column("same")[k].as_py()
+                sides = [batch.column(c)[k].values for c in (("rows",) if same else ("rows", "more"))]
+                node, label, held = (
+                    [side.field(c).to_pylist() for side in sides] for c in ("node", "label", "shingles"))
+                number = {x: i for i, x in enumerate(sorted({x for side in label for x in side}))}
+                kinds = [np.array([number[x] for x in side]) for side in label]
+                links = alike(held[0], None if same else held[1], least) & (kinds[0][:, None] != kinds[-1][None])
+                i, j = np.nonzero(links)
+                x, y = kinds[0][i], kinds[-1][j]
+                _, first = np.unique(np.minimum(x, y) * len(number) + np.maximum(x, y), return_index=True)
+                kept = first[forest(np.c_[x, y][first], len(number))] if len(first) else first
+                a, b = ([nodes[p] for p in at[kept].tolist()] for nodes, at in ((node[0], i), (node[-1], j)))
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
+
+    return meetings.mapInArrow(run, "a binary, b binary").distinct()
 
 
 def classes(docs: DataFrame, text: str = "text", key: str = "doc_id", least: float = LEAST) -> DataFrame:
@@ -212,18 +285,12 @@ def classes(docs: DataFrame, text: str = "text", key: str = "doc_id", least: flo
         chosen(docs, node=text_key(docs[f"`{text}`"]), text=text).join(wanted, "node", "left_semi").dropDuplicates(["node"]),
         "candidates", scratch)
     links = stored(verified(stars, texts, least), "links", scratch)
-    tried, labels = stars, components(links, scratch=scratch)
-    for nearest in (True, False):
-        rest = across_classes(shared, labels, nodes, nearest, least, scratch).join(tried, ["a", "b"], "left_anti")
-        rest = stored(rest, "pairs", scratch)
-        more = stored(verified(rest, texts, least), "links", scratch)
-        tried = tried.unionAll(rest)
-        if not more.isEmpty():
-            links = links.unionAll(more)
-            labels = components(links, scratch=scratch)
-    final = labels
+    labels = components(links, scratch=scratch)
+    more = stored(across_classes(shared, labels, nodes, texts, least, scratch), "links", scratch)
+    if not more.isEmpty():
+        labels = components(links.select("a", "b").unionAll(more), scratch=scratch)
     owned = chosen(docs, key=key, node=text_key(docs[f"`{text}`"]))
-    named = owned.join(final, "node", "left").select("key", F.coalesce("label", "node").alias("label"))
+    named = owned.join(labels, "node", "left").select("key", F.coalesce("label", "node").alias("label"))
     named = stored(named, "membership")
     discard(docs.sparkSession, scratch)
     heads = named.groupBy("label").agg(F.min("key").alias("class_id"), F.count("*").alias("class_size"))

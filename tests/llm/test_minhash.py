@@ -61,6 +61,49 @@ def test_chains_and_hot_buckets(spark, monkeypatch):
     assert got(minhash.classes(docs)) == brute(rows)
 
 
+def test_meetings_are_exact_and_report_a_forest():
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 2**63, 50).astype("<u8")
+    sets = [np.sort(np.r_[base[:50 - n % 25], rng.integers(0, 2**63, n % 7).astype("<u8")]) for n in range(40)]
+    sets += [np.zeros(0, "<u8"), np.sort(rng.integers(0, 2**63, 9000).astype("<u8"))]
+
+    def plain(one, two):
+        return [[len(a | b) > 0 and len(a & b) / len(a | b) >= 0.8 for b in map(set, map(bytes_of, two))]
+                for a in map(set, map(bytes_of, one))]
+
+    bytes_of = lambda s: s.tolist()
+    raw = [s.tobytes() for s in sets]
+    assert (minhash.alike(raw[:17], raw[17:]) == plain(sets[:17], sets[17:])).all()
+    inside = minhash.alike(raw, None)
+    apart = ~np.eye(len(raw), dtype=bool)
+    assert (inside[apart] == np.array(plain(sets, sets))[apart]).all()
+    ring = np.array([(i, (i + 1) % 6) for i in range(6)] + [(7, 8), (8, 7)])
+    assert minhash.forest(ring, 9) == [0, 1, 2, 3, 4, 6]
+
+
+def test_links_of_a_torn_bucket_are_fewer_than_its_texts(spark):
+    """Half of 200 texts that are all alike but for some are compared pairwise; what is reported stays linear."""
+    rng = np.random.default_rng(5)
+    base = [f"w{i}" for i in range(120)]
+    rows = []
+    for n in range(200):
+        words = list(base)
+        for at in rng.choice(120, int(rng.integers(1, 6)), replace=False):
+            words[at] = f"z{n}_{at}"
+        rows.append((n, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    nodes = minhash.signed(docs).persist()
+    texts = docs.select(minhash.text_key(docs.text).alias("node"), "text")
+    bucket = nodes.selectExpr("node", "0L as key")
+    none = spark.createDataFrame([], "node binary, label binary")
+    links = minhash.across_classes(bucket, none, nodes, texts).collect()
+    groups = {}
+    for _, c in brute(rows):
+        groups[c] = groups.get(c, 0) + 1
+    assert len(links) == sum(n - 1 for n in groups.values())
+    assert got(minhash.classes(docs)) == brute(rows)
+
+
 def test_odd_rows(spark):
     rows = [(None, "a b c"), (4, "A b  c"), (2, None), (3, ""), (7, "a b c"), (7, "a b c"), (9, "q r s t u v"), (None, "only")]
     docs = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, node int")
