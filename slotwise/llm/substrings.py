@@ -33,7 +33,8 @@ from slotwise.llm.common import chosen, gathered, small_batches
 from slotwise.llm.words import STEP_WORDS, Words, long_hash, mixed, runs, words_of
 
 LENGTH, PREFIX = 13, 5
-BLOCK_BYTES = 12_000_000
+#: Bytes of text that a worker holds at once; its arrays take about 30 times as much.
+BLOCK_BYTES = 4_000_000
 #: Bytes of text whose windows make one bucket on average, and whose documents make one bucket of results.
 BUCKET_BYTES, RESULT_BYTES = 8_000_000, 8_000_000
 #: Prefixes are counted by hash in so many slots a bucket.
@@ -241,7 +242,7 @@ def remove_repeats(
     if not PREFIX < length <= 200:
         raise ValueError(f"windows of {PREFIX + 1} to 200 words")
     spark = docs.sparkSession
-    small_batches(spark)
+    small_batches(spark, most=BLOCK_BYTES)
     names = [f"k{n}" for n in range(len(keep))]
     rows = chosen(docs, id=docs[f"`{key}`"].cast("long"), text=text, **dict(zip(names, keep)))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0

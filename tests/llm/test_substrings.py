@@ -1,5 +1,6 @@
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -105,3 +106,20 @@ def test_a_frequent_prefix_is_dealt_to_many_buckets(spark, monkeypatch):
         monkeypatch.setattr(substrings, name, 20_000)
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     assert got(substrings.remove_repeats(docs)) == brute(rows)
+
+
+def test_a_block_takes_bounded_memory():
+    """Peak of a worker's arrays for a full block, of ordinary words and of words of one letter."""
+    rng = random.Random(2)
+    for word in (lambda: f"w{rng.randrange(10**5)}", lambda: rng.choice("abcdefgh")):
+        texts, size = [], 0
+        while size < substrings.BLOCK_BYTES:
+            texts.append(" ".join(word() for _ in range(400)))
+            size += len(texts[-1])
+        ids = np.arange(len(texts))
+        tracemalloc.start()
+        for _ in substrings.block_entries(pa.array(texts), ids, np.zeros(len(ids), "<u4"), 13, 60, 60):
+            pass
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 100 * substrings.BLOCK_BYTES
