@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 
 from slotwise.functions import binning as B
 from slotwise.functions import cleaning as C
-from slotwise.operators.enrich import stack
+from slotwise.operators.enrich import stack, stack_tagged
 from slotwise.operators.ranking import column_quantiles, exact_quantiles
 from slotwise.operators.sizing import broadcast_if_small
 
+#: Sketches of distinct values have 2 ** SKETCH_PRECISION cells: a standard error of 0.8 %.
+SKETCH_PRECISION = 14
 # Columns that mark the time axis, and categorical columns worth counting.
 DATE_COLUMNS = ["fecha", "dt_operacion", "fecha_cruce"]
 CATEGORICAL_COLUMNS = [
@@ -142,18 +144,28 @@ def extreme_values(df: DataFrame, column: str, n: int = 8) -> DataFrame:
 def duplicate_summary(df: DataFrame, business_key: Sequence[str]) -> DataFrame:
     """Rows beyond the first among identical rows, and among rows that share the business key.
 
-    Copies merge on the map side before the shuffle, so a row repeated for a third of the table costs
-    no more than any other. Missing values count as equal.
+    Missing values count as equal. Whole rows are found by a 64-bit hash of all their columns: the hashes are counted
+    first, and only rows whose hash occurs again are compared in full, so a table without copies shuffles hashes and no
+    row, and two rows that merely share a hash are told apart. Copies merge on the map side before either shuffle, so a
+    row repeated for a third of the table costs no more than any other.
     """
-    def surplus(kind: str, keys: Sequence[str]) -> DataFrame:
-        groups = df.groupBy(*keys).agg(F.count("*").alias("_n"))
-        extra, total = F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)), F.sum("_n")
-        return groups.agg(
-            F.lit(kind).alias("tipo"), extra.alias("cantidad"),
-            F.round(F.try_divide(100 * extra, total), 3).alias("pct_total"),
-        )
-
-    return surplus("filas_identicas", df.columns).unionByName(surplus("llave_de_negocio", business_key))
+    hashed = df.withColumn("_hash", F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+    again = hashed.groupBy("_hash").agg(F.count("*").alias("_n")).filter("_n > 1").select("_hash")
+    suspects = hashed.join(broadcast_if_small(again), "_hash", "left_semi")
+
+    def extra_rows(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+        groups = rows.groupBy(*[F.col(f"`{c}`") for c in keys]).agg(F.count("*").alias("_n"))
+        return groups.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("cantidad"), F.lit(0).alias("total"))
+
+    total = df.agg(F.lit(0).alias("cantidad"), F.count("*").alias("total"))
+    found = stack_tagged({
+        kind: extra.unionByName(total) for kind, extra in (
+            ("filas_identicas", extra_rows(suspects, df.columns)), ("llave_de_negocio", extra_rows(df, business_key)))
+    }, "tipo")
+    return found.groupBy("tipo").agg(
+        F.sum("cantidad").alias("cantidad"),
+        F.round(F.try_divide(100 * F.sum("cantidad"), F.sum("total")), 3).alias("pct_total"),
+    )
 
 
 def heavy_models(
@@ -223,6 +235,33 @@ def cardinality(df: DataFrame, columns: Sequence[str] = tuple(CATEGORICAL_COLUMN
     return long.groupBy("columna").agg(F.count_distinct("valor").alias("valores_distintos"))
 
 
+def distinct_sketches(
+    df: DataFrame, by: Sequence[str], columns: Sequence[str] = tuple(CATEGORICAL_COLUMNS), precision: int = SKETCH_PRECISION,
+) -> DataFrame:
+    """Rows, nulls and a sketch of the distinct values (``boceto``) of each column, per group of ``by``.
+
+    Made once per group (a year, a partition) and stored; ``merged_cardinality`` reads only these few rows, so a new
+    year does not rescan the years before. One pass; a sketch holds at most about 2 ** ``precision`` bytes. Values count
+    as the same when their text is. A column without values has an empty sketch.
+    """
+    present = [c for c in columns if c in df.columns and c not in by]
+    cells = [F.struct(
+        F.lit(c).alias("columna"), F.count("*").alias("n"), F.count_if(F.col(c).isNull()).alias("nulos"),
+        F.hll_sketch_agg(F.col(c).cast("string"), precision).alias("boceto")) for c in present]
+    grouped = df.groupBy(*by).agg(F.array(*cells).alias("_cells"))
+    return grouped.select(*by, F.inline("_cells"))
+
+
+def merged_cardinality(sketches: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Rows, nulls and estimated distinct values of each column from stored sketches, over all groups or those of ``by``.
+
+    The standard error is 1.04 / sqrt(2 ** precision) at most: 0.8 % as stored by default.
+    """
+    return sketches.groupBy(*by, "columna").agg(
+        F.sum("n").alias("n"), F.sum("nulos").alias("nulos"),
+        F.hll_sketch_estimate(F.hll_union_agg("boceto")).alias("valores_distintos"))
+
+
 def histogram(
     df: DataFrame, value: Column, bins: int, low: float | None = None, high: float | None = None,
     by: str | None = None,

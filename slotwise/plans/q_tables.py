@@ -8,6 +8,7 @@ from slotwise.functions.cleaning import clip
 from slotwise.operators import filters, prepare
 from slotwise.operators import profiles as Pr
 from slotwise.operators import quality as Q
+from slotwise.operators.ranking import stored
 from slotwise.plans import tables
 from slotwise.plans.registry import query, tidy
 from slotwise.plans.sql import CLEAN, DAILY, FLIGHTS, NATION_PROFILE
@@ -64,15 +65,15 @@ _LI = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 def _profile_sql(table: str, columns: dict[str, str]) -> str:
     return " UNION ALL ".join(
         f"SELECT '{c}' AS columna, '{t}' AS tipo, count(*) - count({c}) AS nulos, "
-        f"round((count(*) - count({c})) / count(*) * 100, 2) AS pct_nulos, count(DISTINCT {c}) AS valores_distintos "
-        f"FROM {table}" for c, t in columns.items())
+        f"round((count(*) - count({c})) / count(*) * 100, 2) AS pct_nulos, count(DISTINCT {c}) AS valores_distintos, "
+        f"substr(min(CAST({c} AS VARCHAR)), 1, 28) AS ejemplo FROM {table}" for c, t in columns.items())
 
 
 @query("A15_column_profile", _profile_sql("orders", {
     "o_orderkey": "bigint", "o_custkey": "bigint", "o_orderstatus": "string", "o_totalprice": "double",
     "o_orderdate": "timestamp_ntz", "o_orderpriority": "string"}))
 def column_profile(spark, d):
-    return Q.column_profile(tables.table(spark, d, "orders")).drop("ejemplo")
+    return Q.column_profile(tables.table(spark, d, "orders"))
 
 
 @query("A15_column_examples", f"""WITH {FLIGHTS}
@@ -211,6 +212,26 @@ def cardinality(spark, d):
     return Q.cardinality(tables.flights(spark, d))
 
 
+# The estimates of all years' sketches together, and of each year's, lie within four standard errors of exact counts.
+@query("A31_cardinality_by_year", f"""WITH p AS (SELECT year(o_orderdate)::BIGINT AS anio, o_custkey, o_orderpriority, o_orderdate FROM orders),
+""" + "u AS (" + " UNION ALL ".join(
+    f"SELECT anio, '{c}' AS columna, count(*) AS n, count(DISTINCT {c}) AS exactos FROM p GROUP BY ROLLUP (anio)"
+    for c in ("o_custkey", "o_orderpriority", "o_orderdate")) + ") SELECT anio, columna, n, exactos, true AS cerca FROM u")
+def cardinality_by_year(spark, d):
+    orders = tables.table(spark, d, "orders").withColumn("anio", F.year("o_orderdate").cast("long"))
+    columns = ["o_custkey", "o_orderpriority", "o_orderdate"]
+    sketches = stored(Q.distinct_sketches(orders, ["anio"], columns))
+    whole = Q.merged_cardinality(sketches).withColumn("anio", F.lit(None).cast("long"))
+    estimates = Q.merged_cardinality(sketches, ["anio"]).unionByName(whole)
+    years = orders.select(*[F.col(c).cast("string").alias(c) for c in columns], "anio").unpivot(
+        ["anio"], columns, "columna", "valor").distinct()
+    exact = years.groupBy("anio", "columna").agg(F.count("valor").alias("exactos")).unionByName(
+        years.groupBy("columna").agg(F.count_distinct("valor").alias("exactos")).withColumn("anio", F.lit(None).cast("long")))
+    both = estimates.alias("e").join(exact.alias("x"), F.expr("e.columna = x.columna and e.anio <=> x.anio"))
+    near = F.abs(F.col("valores_distintos") - F.col("exactos")) <= 4 * 1.04 / 2 ** (Q.SKETCH_PRECISION / 2) * F.col("exactos")
+    return both.select("e.anio", "e.columna", "n", "exactos", near.alias("cerca"))
+
+
 @query("A36_concentration", """
 SELECT l_suppkey, count(*) AS n, round(count(*) / (SELECT count(l_suppkey) FROM lineitem), 6) AS participacion
 FROM lineitem GROUP BY l_suppkey ORDER BY n DESC, l_suppkey LIMIT 10""")

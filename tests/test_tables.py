@@ -132,6 +132,41 @@ def test_duplicates_count_nulls_as_equal(spark):
     assert got == {"filas_identicas": (1, 25.0), "llave_de_negocio": (2, 50.0)}
 
 
+def test_rows_of_one_hash_are_not_copies_until_compared(spark, monkeypatch):
+    rows = [(n % 7, float(n % 5), None if n % 3 else "x") for n in range(60)] + [(8, 0.0, "z"), (8, -0.0, "z"), (9, 1.0, None)]
+    df = spark.createDataFrame(rows, "a int, b double, `c.d` string")
+    want = len(rows) - len(set(rows))
+    got = {r.tipo: r.cantidad for r in quality.duplicate_summary(df, ["a"]).collect()}
+    assert got == {"filas_identicas": want, "llave_de_negocio": len(rows) - 9}
+    monkeypatch.setattr(F, "xxhash64", lambda *c: F.lit(1).cast("long"))
+    assert {r.tipo: r.cantidad for r in quality.duplicate_summary(df, ["a"]).collect()} == got
+
+
+def test_a_table_without_copies_shuffles_hashes_only(spark):
+    df = spark.range(1000).selectExpr("id", "repeat(cast(id as string), 50) as wide")
+    plan = quality.duplicate_summary(df, ["id"])._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_sketches_of_years_merge(spark, tmp_path):
+    df = spark.range(60_000).selectExpr(
+        "id % 6 + 2019 as anio", "cast(id % 20011 as string) as matricula", "id % 3 as clase", "cast(null as date) as vacia")
+    columns = ["matricula", "clase", "vacia"]
+    path = str(tmp_path / "bocetos")
+    first = quality.distinct_sketches(df.filter("anio < 2024"), ["anio"], columns)
+    first.write.parquet(path)
+    quality.distinct_sketches(df.filter("anio = 2024"), ["anio"], columns).write.mode("append").parquet(path)
+    stored = spark.read.parquet(path)
+    assert stored.count() == 18 and max(len(r.boceto) for r in stored.collect()) <= 2 ** 14 + 100
+    got = {r.columna: r for r in quality.merged_cardinality(stored).collect()}
+    assert got["matricula"].valores_distintos == pytest.approx(20011, rel=4 * 1.04 / 128)
+    assert (got["clase"].valores_distintos, got["vacia"].valores_distintos, got["vacia"].nulos) == (3, 0, 60_000)
+    whole = quality.merged_cardinality(quality.distinct_sketches(df, [], columns))
+    for r in whole.collect():
+        assert r.n == got[r.columna].n == 60_000
+        assert r.valores_distintos == pytest.approx(got[r.columna].valores_distintos, rel=4 * 1.04 / 128)
+
+
 def test_file_inventory(spark, tmp_path):
     for name in ("a.csv", "sub/b.JSON", "sub/c.xlsx", "README", ".gitkeep", ".hidden"):
         path = tmp_path / name
