@@ -19,6 +19,7 @@ from slotwise.functions import clock
 from slotwise.operators.enrich import stack_tagged
 from slotwise.operators.prepare import with_calendar
 from slotwise.operators.sizing import broadcast_if_small, drop_null_keys, require_columns
+from slotwise.sources.sinks import save_bucketed
 
 FLIGHT = ("aerolinea_dgac", "numero_vuelo", "tipo_operacion")
 SLOT_KEY = (*FLIGHT, "mes_ym", "dia_semana")
@@ -85,6 +86,30 @@ def minute_counts(df: DataFrame, keys: Sequence[str], minute: str = "min_dia") -
     return known.groupBy(*keys, F.col(minute).alias("m")).agg(F.count("*").alias("n"))
 
 
+def store_minute_counts(
+    df: DataFrame, name: str, path: str, keys: Sequence[str] = SLOT_KEY, minute: str = "min_dia",
+    buckets: int | None = None, append: bool = False,
+) -> DataFrame:
+    """The counts as a table in buckets of the key: the log is shuffled once, the timetables drawn from it never again.
+
+    A new month is appended without counting the old ones again. Buckets default to the session's shuffle
+    partitions; appended rows need the number that the table was made with.
+    """
+    n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return save_bucketed(minute_counts(df, keys, minute), name, path, keys, n, ["m"], append)
+
+
+def stored_slot_reference(
+    stored: DataFrame, keys: Sequence[str] = SLOT_KEY, minute: str = "min_dia", gap: int = 120, min_obs: int = 2,
+) -> DataFrame:
+    """``slot_reference`` from a table of ``store_minute_counts``: no shuffle between the scan and the result.
+
+    A key and minute that several appended parts hold are added up first, inside their bucket.
+    """
+    counts = stored.groupBy(*keys, "m").agg(F.sum("n").alias("n"))
+    return _references(counts, keys, gap, min_obs).drop("n").withColumnRenamed("m", minute)
+
+
 def _references(counts: DataFrame, keys: Sequence[str], gap: int, min_obs: int) -> DataFrame:
     text = _SLOTS.replace("<keys>", ", ".join(f"`{k}`" for k in keys))
     return counts.sparkSession.sql(text, {"gap": gap, "min_obs": min_obs}, counts=counts)

@@ -11,6 +11,7 @@ from slotwise.operators.prepare import with_calendar
 from slotwise.plans import tables
 from slotwise.plans.registry import query, tidy
 from slotwise.plans.sql import DATED, DAY_PROFILE, JOINED, SLOT_PROFILE, TARGET, WEATHER, slots
+from slotwise.session import scratch_path
 
 _BANDS = f"""WITH {JOINED},
 known AS (SELECT * FROM joined WHERE tavg IS NOT NULL),
@@ -32,16 +33,27 @@ def weather_effect(spark, d):
     return We.weather_effect(tables.joined(spark, d))
 
 
-@query("W2_slot_reference", f"""WITH {DATED},
+_SLOT_REFERENCE = f"""WITH {DATED},
 regular AS (SELECT * FROM dated WHERE actividad_cod = 'U'),""" + slots(
     "regular", "aerolinea_dgac, numero_vuelo, tipo_operacion, mes_ym, dia_semana", "t") + """
 SELECT aerolinea_dgac, numero_vuelo, tipo_operacion, mes_ym, dia_semana, min_dia,
-       any_value(center)::DOUBLE AS hora_referencia_min FROM t_gap JOIN t_ref USING (event_id) GROUP BY ALL""")
+       any_value(center)::DOUBLE AS hora_referencia_min FROM t_gap JOIN t_ref USING (event_id) GROUP BY ALL"""
+
+
+@query("W2_slot_reference", _SLOT_REFERENCE)
 def slot_reference(spark, d):
     dated = with_calendar(tables.flights(spark, d).filter(F.col("actividad_cod") == "U"))
     return tidy(TT.slot_reference(dated).drop("n_obs_grupo"))
 
 
+@query("W2_stored_counts", _SLOT_REFERENCE)
+def stored_counts(spark, d):
+    dated = with_calendar(tables.flights(spark, d).filter(F.col("actividad_cod") == "U"))
+    path = scratch_path(spark, "minute_counts")
+    counts = TT.store_minute_counts(dated, f"minute_counts_{path.rsplit('-', 1)[-1]}", path)
+    return tidy(TT.stored_slot_reference(counts).drop("n_obs_grupo"))
+
+
 @query("W3_delay_target", f"""WITH {TARGET}
 SELECT event_id, min_dia, n_obs_grupo, hora_referencia_min::DOUBLE AS hora_referencia_min, desvio_min::DOUBLE AS desvio_min, retraso,
        round(hora_programada, 6) AS hora_programada, fecha_cruce FROM target""")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.util import MLWritable
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
 def save_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
@@ -38,6 +38,31 @@ def save_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> Da
     return spark.read.parquet(path)
 
 
+def save_bucketed(
+    df: DataFrame, name: str, path: str, keys: Sequence[str], buckets: int, sort_by: Sequence[str] = (), append: bool = False,
+) -> DataFrame:
+    """Write a Parquet table dealt by ``keys`` into ``buckets``, one file each, and read it back.
+
+    Windows, groupings and joins on the keys (or on more columns) then read it without a shuffle. ``path`` must be
+    new unless rows are appended; appended rows go to further files of the same buckets.
+    """
+    dealt = df.repartition(buckets, *keys).write.format("parquet").bucketBy(buckets, *keys).sortBy(*keys, *sort_by)
+    dealt.option("path", path).mode("append" if append else "error").saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
+def attach_bucketed(
+    spark: SparkSession, name: str, path: str, keys: Sequence[str], buckets: int, sort_by: Sequence[str] = (),
+) -> DataFrame:
+    """A table of ``save_bucketed`` under a name in this session, whose catalog may have forgotten it."""
+    listed = lambda names: ", ".join(f"`{n}`" for n in names)
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(path).schema)
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet CLUSTERED BY ({listed(keys)}) "
+        f"SORTED BY ({listed([*keys, *sort_by])}) INTO {buckets} BUCKETS LOCATION '{path}'")
+    return spark.table(name)
+
+
 def save_facts(facts: DataFrame, path: str) -> DataFrame:
     """Report facts as one Parquet table of category, key and value."""
     return save_table(facts.select("categoria", "clave", "valor"), path)

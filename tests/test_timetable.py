@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from slotwise.operators import profiles, timetable
 from slotwise.operators.prepare import with_calendar
+from slotwise.sources.sinks import attach_bucketed
 
 KEY = ("k",)
 
@@ -136,3 +137,27 @@ def test_one_shuffle_by_key_after_the_counts(spark):
     plan = timetable.slot_reference(df)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 2
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_stored_counts_give_the_timetable_without_a_shuffle(spark, tmp_path):
+    rng = random.Random(11)
+    rows = [(rng.choice(["a", "b", "c", None]), rng.choice([300, 310, 700, 1435, 5, None]), i % 2) for i in range(400)]
+    df = spark.createDataFrame(rows, "k string, min_dia int, month int")
+    path = str(tmp_path / "counts")
+    args = {"keys": KEY, "buckets": 4}
+    timetable.store_minute_counts(df.filter("month = 0"), "counts_in_parts", path, **args)
+    # The second part holds keys and minutes of the first one.
+    table = timetable.store_minute_counts(df.filter("month = 1"), "counts_in_parts", path, append=True, **args)
+    want = sorted(map(tuple, timetable.slot_reference(df, KEY).collect()))
+    found = timetable.stored_slot_reference(table, KEY)
+    assert sorted(map(tuple, found.collect())) == want
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    # A catalog that knows nothing of the table takes it up from its files.
+    again = attach_bucketed(spark, "counts_again", path, KEY, 4, ["m"])
+    plan = timetable.stored_slot_reference(again, KEY)
+    assert "Exchange" not in plan._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, plan.collect())) == want
+    empty = timetable.store_minute_counts(df.limit(0), "counts_of_none", str(tmp_path / "none"), **args)
+    assert timetable.stored_slot_reference(empty, KEY).count() == 0
+    for name in ("counts_in_parts", "counts_again", "counts_of_none"):
+        spark.sql(f"DROP TABLE {name}")
