@@ -172,8 +172,11 @@ def _bracketed(
 def _ranked(
     candidates: DataFrame, skipped: DataFrame, keys: Sequence[str], n: int, rows_per_cell: int | None,
 ) -> DataFrame:
-    """Candidates with ``_upto{i}``, the rows up to and with each of them as seen from bracket ``i``."""
-    ranked = running_totals(candidates, "_c", {"_cum": F.col("_n")}, keys, rows_per_cell=rows_per_cell)
+    """Candidates with ``_upto{i}``, the rows up to and with each of them as seen from bracket ``i``.
+
+    Candidates come from a checkpoint already, so they are not written again.
+    """
+    ranked = running_totals(candidates, "_c", {"_cum": F.col("_n")}, keys, rows_per_cell=rows_per_cell, is_stored=True)
     if keys:
         ranked = ranked.join(broadcast_if_small(skipped), on=list(keys), how="left")
     else:
