@@ -121,13 +121,18 @@ def delay_target(
     slot_min_obs: int = 2,
     grupo_min_obs: int = 3,
     umbral_retraso_min: float = 15,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
-    """Flights with a trustworthy reference, their deviation from it and the delay label."""
+    """Flights with a trustworthy reference, their deviation from it and the delay label.
+
+    ``counts``, a table of ``store_minute_counts`` over these flights or a longer log, spares counting them again;
+    flights at a key and minute that it does not hold have no reference.
+    """
     require_columns(flights, ["dt_operacion", *FLIGHT])
     dated = with_calendar(flights)
-    reference = slot_reference(dated, gap=slot_gap_min, min_obs=slot_min_obs).filter(
-        F.col("n_obs_grupo") >= grupo_min_obs
-    )
+    times = {"gap": slot_gap_min, "min_obs": slot_min_obs}
+    known = slot_reference(dated, **times) if counts is None else stored_slot_reference(counts, **times)
+    reference = known.filter(F.col("n_obs_grupo") >= grupo_min_obs)
     on = [*SLOT_KEY, "min_dia"]
     return (
         dated.join(broadcast_if_small(reference), on=on)

@@ -46,20 +46,34 @@ def slot_reference(spark, d):
     return tidy(TT.slot_reference(dated).drop("n_obs_grupo"))
 
 
-@query("W2_stored_counts", _SLOT_REFERENCE)
-def stored_counts(spark, d):
+def minute_counts(spark, d):
+    """Counts of all regular flights, stored under a name and path of their own."""
     dated = with_calendar(tables.flights(spark, d).filter(F.col("actividad_cod") == "U"))
     path = scratch_path(spark, "minute_counts")
-    counts = TT.store_minute_counts(dated, f"minute_counts_{path.rsplit('-', 1)[-1]}", path)
-    return tidy(TT.stored_slot_reference(counts).drop("n_obs_grupo"))
+    return TT.store_minute_counts(dated, f"minute_counts_{path.rsplit('-', 1)[-1]}", path)
+
+
+@query("W2_stored_counts", _SLOT_REFERENCE)
+def stored_counts(spark, d):
+    return tidy(TT.stored_slot_reference(minute_counts(spark, d)).drop("n_obs_grupo"))
 
 
-@query("W3_delay_target", f"""WITH {TARGET}
+_DELAY_TARGET = f"""WITH {TARGET}
 SELECT event_id, min_dia, n_obs_grupo, hora_referencia_min::DOUBLE AS hora_referencia_min, desvio_min::DOUBLE AS desvio_min, retraso,
-       round(hora_programada, 6) AS hora_programada, fecha_cruce FROM target""")
+       round(hora_programada, 6) AS hora_programada, fecha_cruce FROM target"""
+_TARGET_COLUMNS = (
+    "event_id", "min_dia", "n_obs_grupo", "hora_referencia_min", "desvio_min", "retraso", "hora_programada", "fecha_cruce")
+
+
+@query("W3_delay_target", _DELAY_TARGET)
 def delay_target(spark, d):
-    return tidy(tables.target(spark, d).select(
-        "event_id", "min_dia", "n_obs_grupo", "hora_referencia_min", "desvio_min", "retraso", "hora_programada", "fecha_cruce"))
+    return tidy(tables.target(spark, d).select(*_TARGET_COLUMNS))
+
+
+@query("W3_target_from_stored_counts", _DELAY_TARGET)
+def target_from_stored_counts(spark, d):
+    regular = tables.flights(spark, d).filter(F.col("actividad_cod") == "U")
+    return tidy(TT.delay_target(regular, counts=minute_counts(spark, d)).select(*_TARGET_COLUMNS))
 
 
 @query("W6_plain_median_hour", f"""WITH {DATED}
