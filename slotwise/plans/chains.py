@@ -11,6 +11,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -152,7 +153,8 @@ def delay_risk(
         tagged, "retraso", "tramo", key, M.FEATURE_SETS, s.grid, repeats=s.repeats, seed=s.random_state)
     known = joined.filter(F.col("tavg").isNotNull())
     learnt = fitted.learnt_risk(known, F.col("anio") < s.anio_validacion)
-    store.model("modelo_retrasos", fitted.with_model(learnt, found.features, found.model))
+    prepared = PipelineModel(stages=[*learnt.stages, found.bins])
+    store.model("modelo_retrasos", fitted.with_model(prepared, found.features, found.model))
     scored = store.table("proba_test", found.scored)
     slots = store.table("perfil_vuelos", Pr.slot_profile(joined, s.min_ops_slot))
     out = {

@@ -225,6 +225,51 @@ def test_a_search_goes_on_where_it_was_left(learnable, monkeypatch, tmp_path):
     assert left == {r.id: r.proba for r in again.scored.collect()} and len(left) == 225
 
 
+def test_trees_on_counted_bins_are_those_of_the_rows(spark):
+    """Spark's boosting over single rows, and the candidate's over counted sets of bins: equal probabilities."""
+    from pyspark.ml.classification import GBTClassifier
+
+    rng = random.Random(5)
+    rows = [(a, b, int(rng.random() < 0.2 + 0.06 * a + 0.1 * (b > 3)))
+            for a, b in ((rng.randrange(9), rng.randrange(7)) for _ in range(4000))]
+    df = spark.createDataFrame([(float(a), float(b), y) for a, b, y in rows], "a double, b double, y int")
+    binned = M.learnt_bins(df, ["a", "b"]).transform(df)
+    few = S.counted(binned, ["b_a", "b_b"], ["y"])
+    assert few.count() <= 9 * 7 * 2 and few.agg(F.sum("peso")).first()[0] == 4000
+    config = {"max_iter": 6, "learning_rate": 0.3, "max_depth": 3, "min_samples_leaf": 150}
+    plain = GBTClassifier(labelCol="y", featuresCol="features", seed=42, maxIter=6, stepSize=0.3, maxDepth=3,
+                          minInstancesPerNode=150).fit(K.assemble(binned, ["b_a", "b_b"]))
+    ours = M.fit_candidate("GradientBoosting", config, K.assemble(few, ["b_a", "b_b"]), "y", 4000)
+    got, want = ({(r.a, r.b): r.proba for r in M.score(m, K.assemble(binned, ["b_a", "b_b"])).collect()} for m in (ours, plain))
+    assert len(got) == 63 and got == pytest.approx(want) and len(set(got.values())) > 5
+
+
+def test_a_fit_of_trees_goes_through_sets_of_bins(learnable, monkeypatch):
+    real, seen = S.fit_candidate, []
+
+    def see(algorithm, config, train, *args):
+        seen.append((algorithm, train.count()))
+        return real(algorithm, config, train, *args)
+
+    monkeypatch.setattr(S, "fit_candidate", see)
+    few = learnable.withColumns({c: F.round(c, 1) for c in "abc"})
+    found = S.search_models(few, "y", "tramo", "id", SETS, TINY, repeats=1)
+    rows = few.filter("tramo = 'train'").count()
+    assert {n for a, n in seen if a == "RegresionLogistica"} == {rows}
+    assert max(n for a, n in seen if a == "GradientBoosting") < rows
+    assert min(n for a, n in seen if a == "GradientBoosting") <= 11 * 2
+    assert found.importance.count() == 3
+
+
+def test_bins_keep_few_values_apart_and_cut_many_at_quantiles(spark):
+    df = spark.createDataFrame([(float(i % 3), float(i), 7.0) for i in range(6400)], "a double, b double, c double")
+    bins = M.learnt_bins(df, ["a", "b", "c"])
+    rows = bins.transform(df).groupBy("b_b").count().collect()
+    assert len(rows) == 32 and all(abs(r["count"] - 200) <= 20 for r in rows)
+    got = bins.transform(df).select("a", "b_a", "b_c").distinct().collect()
+    assert sorted((r.a, r.b_a) for r in got) == [(0.0, 0.0), (1.0, 1.0), (2.0, 2.0)] and len({r.b_c for r in got}) == 1
+
+
 def test_areas_of_all_candidates_are_those_of_each(learnable, spark):
     found = S.search_models(learnable, "y", "tramo", "id", SETS, TINY, repeats=0)
     row = found.metrics.filter("seleccionado").first()
