@@ -309,6 +309,13 @@ def test_a_file_of_one_partition_is_dealt_over_the_cores(spark):
     assert dealt(one, 1000, 500).rdd.getNumPartitions() == 2
 
 
+def test_a_profile_is_worked_out_once(spark):
+    """Moments, starts and results read the stored profile, not the log behind it."""
+    profile = spark.range(50).groupBy((F.col("id") % 10).alias("k")).agg(F.sum("id").cast("double").alias("a"))
+    plan = K._points(profile, ["a"], [])._jdf.queryExecution().toString()
+    assert "ExistingRDD" in plan and "Aggregate" not in plan
+
+
 def test_a_forest_scans_its_table_for_the_sample_only(learnable):
     """The stored sample: what is drawn from it reads no more of the table behind it."""
     ready = M.sampled(learnable.fillna(0.5), ["a", "c"], "y", "id", 100, 42)
