@@ -225,6 +225,16 @@ def test_a_search_goes_on_where_it_was_left(learnable, monkeypatch, tmp_path):
     assert left == {r.id: r.proba for r in again.scored.collect()} and len(left) == 225
 
 
+def test_a_search_works_out_what_is_asked_for(learnable, tmp_path):
+    """The table of candidates needs neither report nor importances, and the report needs no importances."""
+    one = {"RegresionLogistica": [{"C": 1.0}]}
+    found = S.search_models(learnable, "y", "tramo", "id", {"clima + operacion": ["a", "b"]}, one, repeats=1, store=str(tmp_path))
+    there = lambda: {p.name for p in tmp_path.iterdir()} & {"areas", "report", "importance-1"}
+    assert found.search.count() == 1 and there() == {"areas"}
+    assert found.metrics.count() == 1 and there() == {"areas", "report"}
+    assert found.importance.count() == 2 and there() == {"areas", "report", "importance-1"}
+
+
 def test_trees_on_counted_bins_are_those_of_the_rows(spark):
     """Spark's boosting over single rows, and the candidate's over counted sets of bins: equal probabilities."""
     from pyspark.ml.classification import GBTClassifier
