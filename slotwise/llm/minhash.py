@@ -36,6 +36,8 @@ LEAST = 0.8
 #: Most texts and bytes of shingles in a block, on average, and shingles that a meeting of two blocks compares at once.
 BLOCK, BLOCK_BYTES, SLAB = 256, 2_000_000, 4096
 BATCH_BYTES = 1_000_000
+#: Texts whose darts are held at once: a text takes about as many however short it is.
+DART_TEXTS = 500
 STEP = np.uint64(0xD1B54A32D192ED03)
 
 
@@ -92,6 +94,16 @@ def band_keys(signatures: np.ndarray, bands: int = BANDS) -> np.ndarray:
     return keys.view(np.int64)
 
 
+def text_bands(hashes: np.ndarray, weights: np.ndarray, owners: np.ndarray, n: int) -> np.ndarray:
+    """Band keys of n texts (shingles ordered by text), few texts at a time."""
+    keys = np.zeros((n, BANDS), np.int64)
+    for low in range(0, n, DART_TEXTS):
+        high = min(low + DART_TEXTS, n)
+        a, b = np.searchsorted(owners, [low, high])
+        keys[low:high] = band_keys(darts(hashes[a:b], weights[a:b].astype(float), owners[a:b] - low, high - low))
+    return keys
+
+
 def signed(docs: DataFrame, text: str = "text") -> DataFrame:
     """``node`` (the text's key), ``bands`` and ``size`` (number of shingles) of every distinct text."""
     small_batches(docs.sparkSession, most=4 * BLOCK_BYTES)
@@ -101,9 +113,8 @@ def signed(docs: DataFrame, text: str = "text") -> DataFrame:
         for batch in gathered(batches, "text", BATCH_BYTES):
             texts = batch.column("text")
             hashes, owners, weights = weighted(*shingles(words_of(texts, lower=True)))
-            found = darts(hashes, weights.astype(float), owners, len(texts))
             worded = np.isin(np.arange(len(texts)), owners)
-            keys, size = band_keys(found), np.bincount(owners, weights, len(texts)).astype(np.int64)
+            keys, size = text_bands(hashes, weights, owners, len(texts)), np.bincount(owners, weights, len(texts)).astype(np.int64)
             yield pa.RecordBatch.from_arrays([
                 batch.column("node"), pa.array([k.tolist() if w else [] for k, w in zip(keys, worded)], pa.list_(pa.int64())),
                 pa.array(size),

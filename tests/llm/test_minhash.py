@@ -130,3 +130,16 @@ def test_components(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 100), (7, 7)]
     out = dict(components(spark.createDataFrame(links, "a long, b long")).collect())
     assert {out[i] for i in range(41)} == {0} and out[101] == 100 and len(out) == 43
+
+
+def test_darts_of_few_texts_are_held_at_once(monkeypatch):
+    """A megabyte of short texts holds many: their signatures are those of one call, made for few texts at a time."""
+    rng = np.random.default_rng(3)
+    n = 2 * minhash.DART_TEXTS + 7
+    owners = np.sort(rng.integers(0, n, 3 * n))
+    hashes, weights = rng.integers(1, 2**63, len(owners)).astype(np.uint64), rng.integers(1, 4, len(owners))
+    want = minhash.band_keys(minhash.darts(hashes, weights.astype(float), owners, n))
+    real, asked = minhash.darts, []
+    monkeypatch.setattr(minhash, "darts", lambda h, w, o, m, *k: asked.append(m) or real(h, w, o, m, *k))
+    assert (minhash.text_bands(hashes, weights, owners, n) == want).all()
+    assert len(asked) == 3 and max(asked) <= minhash.DART_TEXTS
